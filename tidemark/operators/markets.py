@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 def combine_markets(main: DataFrame, missing: DataFrame | None = None) -> DataFrame:
-    """One row per market id; the main source wins over the late one. Sorted by creation."""
+    """One row per market id; the main source wins over the late one."""
     ranked = main.withColumn("source_rank", F.lit(0))
     if missing is not None:
         ranked = ranked.unionByName(missing.withColumn("source_rank", F.lit(1)))
@@ -16,10 +16,13 @@ def combine_markets(main: DataFrame, missing: DataFrame | None = None) -> DataFr
         ranked.withColumn("_rn", F.row_number().over(first))
         .filter("_rn = 1")
         .drop("_rn", "source_rank")
-        .orderBy("createdAt", "id")
     )
 
 
+def by_creation(markets: DataFrame) -> DataFrame:
+    return markets.orderBy("createdAt", "id")
+
+
 def markets_long(markets: DataFrame) -> DataFrame:
     """(market_id, side, asset_id): one row per outcome token."""
     return (

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Set on every session; results depend on them.
 REQUIRED = {"spark.sql.session.timeZone": "UTC"}
@@ -61,3 +61,15 @@ def shared_dir(spark: SparkSession) -> str:
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """Write an intermediate result to the shared folder once and read it back.
+
+    For results that several later steps use. Column pruning gives each use its own plan, so
+    Spark would compute them again for every one; a written table also outlives lost executors.
+    """
+    spark = df.sparkSession
+    path = fresh_dir(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
