@@ -38,3 +38,8 @@ def first_filled(*candidates: Column) -> Column:
 
 def epoch_text(seconds: Column) -> Column:
     return F.date_format(F.timestamp_seconds(seconds), "yyyy-MM-dd HH:mm:ss 'UTC'")
+
+
+def day_of(ts: Column, unit: str = "day") -> Column:
+    """A partition value: the day of a time, or the first day of its month, quarter or year."""
+    return F.to_date(F.date_trunc(unit, ts))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.fills import USDC_ASSET
+from tidemark.functions.text import epoch_text
 
 # Which of several rows with one id survives: the smallest in this column order.
 _CHOICE = ("timestamp", "maker", "taker", "makerAssetId", "takerAssetId",
@@ -113,7 +114,8 @@ def row_count(rows: DataFrame) -> DataFrame:
 def high_water_mark(fills: DataFrame) -> DataFrame:
     """The last (timestamp, id) that the target holds."""
     return fills.agg(F.max(F.struct("timestamp", "id")).alias("last")).select(
-        F.col("last.timestamp").alias("last_timestamp"), F.col("last.id").alias("last_id"))
+        F.col("last.timestamp").alias("last_timestamp"), F.col("last.id").alias("last_id"),
+        epoch_text(F.col("last.timestamp")).alias("last_time"))
 
 
 def safe_high_water_mark(fills: DataFrame) -> DataFrame:

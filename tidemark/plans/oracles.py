@@ -393,8 +393,14 @@ RESULTS: dict[str, str] = {
           FROM fx_bounds, range(5) r(i)) s
         WHERE ts > a AND ts <= b GROUP BY i""",
     "high_water_mark": """
-        SELECT ts AS last_timestamp, id AS last_id FROM fx_fills
-        ORDER BY ts DESC, id DESC LIMIT 1""",
+        SELECT ts AS last_timestamp, id AS last_id,
+          strftime(make_timestamp(ts * 1000000), '%Y-%m-%d %H:%M:%S UTC') AS last_time
+        FROM fx_fills ORDER BY ts DESC, id DESC LIMIT 1""",
+    "stored_trades": "SELECT * FROM fx_out",
+    "safe_names": """
+        SELECT id, trim(regexp_replace(regexp_replace(concat(question, ' / ', ticker),
+          '[(),.*:/^]', '_', 'g'), '_+', '_', 'g'), '_') AS name
+        FROM fx_markets""",
     "safe_high_water_mark": """
         SELECT hi AS open_timestamp, count(*) FILTER (ts = hi) AS open_rows,
           max(id) FILTER (ts = hi) AS open_last_id, max(ts) FILTER (ts < hi) AS safe_timestamp

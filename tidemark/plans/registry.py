@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from tidemark.functions.amounts import settle
 from tidemark.functions.fills import involves
 from tidemark.functions.prices import not_nan
+from tidemark.functions.text import safe_name
 from tidemark.operators import (
     bars as B, fills as FL, labelling as L, markets as M, matching as D, pricing as P,
     reports as R, series as S, signals as G, traders as X, upsert as U)
@@ -22,6 +23,8 @@ from tidemark.plans import ranking, testviews as V
 from tidemark.plans.backtest import Backtest, moving_average_backtest
 from tidemark.session import configure, fresh_dir, stage
 from tidemark.sources.landed import parse_events, parse_markets
+from tidemark.sources.readers import read_trades
+from tidemark.sources.writers import write_trades
 from tidemark.streaming import jobs as J
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -165,7 +168,7 @@ def parse_events_(spark, d):
 
 @query
 def merge_segments(spark, d):
-    landed = V.landed_fills(spark, d)
+    landed = stage(V.landed_fills(spark, d), "landed")
     parts = [landed.filter(FL.in_segment(b)) for b in FL.segment_bounds(*time_bounds(landed), 4)]
     return FL.merge_segments(*parts)
 
@@ -220,6 +223,21 @@ def label_trades(spark, d):
     return trades(spark, d)
 
 
+@query
+def stored_trades(spark, d):
+    """Labelled trades through the partitioned table layout."""
+    path = fresh_dir(spark, "trades")
+    write_trades(trades(spark, d), path, unit="year")
+    return read_trades(spark, path)
+
+
+@query
+def safe_names(spark, d):
+    """Column names that a chart may use, from question and ticker of each market."""
+    name = F.concat_ws(" / ", "question", "ticker")
+    return markets(spark, d).select("id", safe_name(name).alias("name"))
+
+
 @query
 def quality_report(spark, d):
     return L.quality_report(fills(spark, d), markets(spark, d))

@@ -5,22 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.text import day_of
 
-def write_trades(trades: DataFrame, path: str, mode: str = "append") -> None:
+
+def write_trades(trades: DataFrame, path: str, mode: str = "append", unit: str = "day") -> None:
     """Trades by date, clustered by market and maker within a date.
 
     Ranges over (date, market, maker, id) give files of even size: a busy date or market is
     split over many tasks, and statistics in the files let filters on market or maker skip.
     """
-    dated = trades.withColumn("date", F.to_date("timestamp"))
+    dated = trades.withColumn("date", day_of(F.col("timestamp"), unit))
     keys = ["date", "market_id", "maker", "id"]
     (dated.repartitionByRange(*keys).sortWithinPartitions(*keys)
      .write.mode(mode).partitionBy("date").parquet(path))
 
 
-def write_fills(fills: DataFrame, path: str, mode: str = "append") -> None:
+def write_fills(fills: DataFrame, path: str, mode: str = "append", unit: str = "day") -> None:
     """Raw fills by date of the event, in time order within a file."""
-    dated = fills.withColumn("date", F.to_date(F.timestamp_seconds("timestamp")))
+    dated = fills.withColumn("date", day_of(F.timestamp_seconds("timestamp"), unit))
     keys = ["date", "timestamp", "id"]
     (dated.repartitionByRange(*keys).sortWithinPartitions(*keys)
      .write.mode(mode).partitionBy("date").parquet(path))
