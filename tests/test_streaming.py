@@ -1,0 +1,88 @@
+"""Streams against their batch results, in time order and out of it."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.operators import bars as B, fills as FL, labelling as L, pricing as P
+from tidemark.plans import registry, testviews as V
+from tidemark.streaming import jobs as J
+
+
+def land(df, folder, descending, files=3):
+    """One file per time range; file times follow the landing order."""
+    lo, hi = df.agg(F.min(F.unix_seconds("timestamp")), F.max(F.unix_seconds("timestamp"))).head()
+    ranges = FL.segment_bounds(lo - 1, hi, files)
+    for i, (a, b) in enumerate(ranges[::-1] if descending else ranges):
+        s = F.unix_seconds("timestamp")
+        df.filter((s > a) & (s <= b)).coalesce(1).write.mode("append").parquet(folder)
+    return folder
+
+
+def same(a, b):
+    b = b.select(*a.columns)
+    return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+@pytest.mark.parametrize("descending", [False, True])
+def test_ohlcv_any_order(spark, tiny, tmp_path, descending):
+    ticks = V.ticks(spark, tiny)
+    path = land(ticks, str(tmp_path / "in"), descending)
+    stream = J.stream_fills(spark, path, 1, ticks.schema)
+    J.stream_ohlcv(stream, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    assert same(J.read_ohlcv(spark, str(tmp_path / "out")), B.ohlcv(ticks))
+
+
+@pytest.mark.parametrize("descending", [False, True])
+def test_dedup_any_order_and_replay(spark, tiny, tmp_path, descending):
+    landed = V.landed_fills(spark, tiny)
+    timed = landed.withColumn("s", F.col("timestamp"))
+    lo, hi = landed.agg(F.min("timestamp"), F.max("timestamp")).head()
+    folder = str(tmp_path / "in")
+    ranges = FL.segment_bounds(lo - 1, hi, 3)
+    for b in (ranges[::-1] if descending else ranges):
+        landed.filter(FL.in_segment(b)).coalesce(1).write.mode("append").parquet(folder)
+    landed.coalesce(1).write.mode("append").parquet(folder)  # everything lands once more
+    out, cp = str(tmp_path / "out"), str(tmp_path / "cp")
+    for _ in range(2):  # the second run finds nothing new
+        J.stream_dedup(J.stream_fills(spark, folder, 1), out, cp, unit="year").awaitTermination()
+    assert same(J.read_dedup(spark, out), FL.dedup_fills(landed))
+    # a batch that runs again overwrites its own folder
+    stored = spark.read.parquet(out).count()
+    assert stored == landed.distinct().count() and timed.count() == landed.count()
+
+
+def test_ordered_forms(spark, tiny, tmp_path):
+    """In time order the watermarked forms are complete up to the still open part."""
+    ticks = V.ticks(spark, tiny)
+    path = land(ticks, str(tmp_path / "in"), False)
+    stream = J.stream_fills(spark, path, 1, ticks.schema)
+    bars = J.stream_ohlcv_ordered(stream, "1 day")
+    (bars.writeStream.format("parquet").option("path", str(tmp_path / "bars"))
+     .option("checkpointLocation", str(tmp_path / "cp1")).trigger(availableNow=True).start()
+     .awaitTermination())
+    got, want = spark.read.parquet(str(tmp_path / "bars")), B.ohlcv(ticks)
+    last = want.agg(F.max("timestamp")).head()[0]
+    closed = want.filter(F.col("timestamp") < F.lit(last) - F.expr("INTERVAL 1 DAY 10 MINUTES"))
+    assert closed.exceptAll(got).isEmpty() and got.exceptAll(want).isEmpty()
+    ids = ticks.select("id", F.unix_seconds("timestamp").alias("timestamp"))
+    folder = str(tmp_path / "ids")
+    ids.orderBy("timestamp").coalesce(1).write.parquet(folder)
+    unique = J.stream_dedup_ordered(spark.readStream.schema(ids.schema).parquet(folder), "1 hour")
+    (unique.writeStream.format("parquet").option("path", str(tmp_path / "u"))
+     .option("checkpointLocation", str(tmp_path / "cp2")).trigger(availableNow=True).start()
+     .awaitTermination())
+    assert spark.read.parquet(str(tmp_path / "u")).count() == 1000
+
+
+def test_labels_and_last_price(spark, tiny, tmp_path):
+    fills, markets = registry.fills(spark, tiny), registry.markets(spark, tiny)
+    folder = str(tmp_path / "in")
+    for part in (fills.filter("timestamp >= 900000000"), fills.filter("timestamp < 900000000")):
+        part.coalesce(1).write.mode("append").parquet(folder)
+    J.stream_label_trades(J.stream_fills(spark, folder, 1), markets, str(tmp_path / "t"),
+                          str(tmp_path / "cp"), unit="year").awaitTermination()
+    batch = L.label_trades(fills, markets)
+    assert same(spark.read.parquet(str(tmp_path / "t")).drop("date"), batch)
+    stream = L.label_trades(J.stream_fills(spark, folder, 1), markets)
+    J.stream_last_price(stream, str(tmp_path / "p"), str(tmp_path / "cp2")).awaitTermination()
+    assert same(J.read_last_price(spark, str(tmp_path / "p")), P.last_price(batch))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark import schemas
@@ -50,13 +51,23 @@ def get_markets(spark: SparkSession, main: str | None, missing: str | None = Non
         read_optional(spark, missing, schemas.MARKETS)))
 
 
-def read_fills(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
-    return read_table(spark, path, schemas.FILLS, fmt)
+def _within(df: DataFrame, schema: StructType, dates: tuple[str, str] | None) -> DataFrame:
+    """Rows of the date folders in a range (inclusive), without the folder column."""
+    if dates:
+        df = df.filter(F.col("date").between(*[F.lit(d).cast("date") for d in dates]))
+    return df.select(*schema.fieldNames())
 
 
-def read_trades(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
-    """Labelled trades. Parquet tables keep extra partition columns out of the result."""
-    return read_table(spark, path, schemas.TRADES, fmt).select(*schemas.TRADES.fieldNames())
+def read_fills(spark: SparkSession, path: str, fmt: str | None = None,
+               dates: tuple[str, str] | None = None) -> DataFrame:
+    """Raw fills; ``dates`` reads only those folders of a table from ``write_fills``."""
+    return _within(read_table(spark, path, schemas.FILLS, fmt), schemas.FILLS, dates)
+
+
+def read_trades(spark: SparkSession, path: str, fmt: str | None = None,
+                dates: tuple[str, str] | None = None) -> DataFrame:
+    """Labelled trades; ``dates`` reads only those folders of a table from ``write_trades``."""
+    return _within(read_table(spark, path, schemas.TRADES, fmt), schemas.TRADES, dates)
 
 
 def read_bars(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
