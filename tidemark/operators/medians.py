@@ -11,8 +11,26 @@ from pyspark.sql import functions as F
 _ACCURACY = 10_000
 _HALF_BRACKET = 5 / _ACCURACY
 
+# Groups from this size on take the broadcast path. There are at most rows / HOT_ROWS of them,
+# so that side stays small for any input: 100,000 groups among 10**11 rows.
+HOT_ROWS = 1_000_000
 
-def group_medians(df: DataFrame, keys: list[str], values: dict[str, Column]) -> DataFrame:
+
+def _with_bracket(long: DataFrame, bracket: DataFrame, group: list[str], hot_rows: int
+                  ) -> DataFrame:
+    """Each value with its group's bracket, and no group's values gathered in one task.
+
+    A shuffle join on the group would do that, and the aggregation after it on the same keys
+    keeps adaptive execution from splitting the partition again.
+    """
+    hot = bracket.filter(F.col("n") >= hot_rows)
+    cold = bracket.filter(F.col("n") < hot_rows)
+    others = long.join(F.broadcast(hot.select(*group)), group, "left_anti")
+    return long.join(F.broadcast(hot), group).unionByName(others.join(cold, group))
+
+
+def group_medians(df: DataFrame, keys: list[str], values: dict[str, Column],
+                  hot_rows: int = HOT_ROWS) -> DataFrame:
     """Median of each value per group; nulls are skipped, an all-null value gives null.
 
     ``percentile`` would hold all values of a group in one buffer. Here a mergeable sketch of
@@ -32,7 +50,7 @@ def group_medians(df: DataFrame, keys: list[str], values: dict[str, Column]) ->
         F.approx_percentile("v", [0.5 - _HALF_BRACKET, 0.5 + _HALF_BRACKET], _ACCURACY).alias("b"))
     inside = F.when(F.col("v") >= F.col("b")[0], F.col("v"))
     counted = (
-        long.join(bracket, group)
+        _with_bracket(long, bracket, group, hot_rows)
         .filter(F.col("v") <= F.col("b")[1])
         # all values below the bracket share the null slot
         .groupBy(*group, "n", inside.alias("slot"))
