@@ -46,3 +46,10 @@ def new_markets(candidates: DataFrame, known: DataFrame) -> DataFrame:
 
 def market_of_question(markets: DataFrame) -> DataFrame:
     return markets.select(F.col("id").alias("market_id"), "question")
+
+
+def market_times(markets: DataFrame) -> DataFrame:
+    """Creation and close as timestamps in UTC, whatever zone the text names; null if unreadable."""
+    return markets.withColumns({
+        "created_at": F.try_to_timestamp("createdAt"),
+        "closed_at": F.try_to_timestamp("closedTime")})

@@ -1,42 +1,41 @@
-"""Exact medians of groups too large for one task."""
+"""Exact medians, also of groups too large for one task."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Groups from this size on are bracketed. There are at most rows / HOT_ROWS of them (400,000
+# among 10**11 rows), so the list of such groups stays small enough to broadcast.
+HOT_ROWS = 250_000
+
 # A percentile sketch with accuracy a misses a rank by at most n/a. The bracket reaches five
 # times as far to either side of the median, so it holds the middle ranks; a median that still
 # fell outside would fail the query instead of passing as null.
 _ACCURACY = 10_000
 _HALF_BRACKET = 5 / _ACCURACY
 
-# Groups from this size on take the broadcast path. There are at most rows / HOT_ROWS of them,
-# so that side stays small for any input: 100,000 groups among 10**11 rows.
-HOT_ROWS = 1_000_000
-
 
-def _with_bracket(long: DataFrame, bracket: DataFrame, group: list[str], hot_rows: int
-                  ) -> DataFrame:
-    """Each value with its group's bracket, and no group's values gathered in one task.
+def group_medians(df: DataFrame, keys: list[str], values: dict[str, Column],
+                  hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Median of each value per group; nulls are skipped, an all-null value gives null.
 
-    A shuffle join on the group would do that, and the aggregation after it on the same keys
-    keeps adaptive execution from splitting the partition again.
+    ``median`` holds the values of a group in one buffer, which suits groups below
+    ``hot_rows``. Larger groups never meet in one task.
     """
-    hot = bracket.filter(F.col("n") >= hot_rows)
-    cold = bracket.filter(F.col("n") < hot_rows)
-    others = long.join(F.broadcast(hot.select(*group)), group, "left_anti")
-    return long.join(F.broadcast(hot), group).unionByName(others.join(cold, group))
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    hot = F.broadcast(sizes.filter(F.col("n") >= hot_rows).select(*keys))
+    usual = df.join(hot, keys, "left_anti").groupBy(*keys).agg(
+        *[F.median(value.cast("double")).alias(name) for name, value in values.items()])
+    return usual.unionByName(_bracketed(df.join(hot, keys, "left_semi"), keys, values))
 
 
-def group_medians(df: DataFrame, keys: list[str], values: dict[str, Column],
-                  hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Median of each value per group; nulls are skipped, an all-null value gives null.
+def _bracketed(df: DataFrame, keys: list[str], values: dict[str, Column]) -> DataFrame:
+    """Medians of a few large groups.
 
-    ``percentile`` would hold all values of a group in one buffer. Here a mergeable sketch of
-    bounded size brackets the median, the values are counted per distinct value inside the
-    bracket, and the middle ranks are read from the running count. Only about 0.1 % of a group
-    is ever ordered in one task.
+    A mergeable sketch of bounded size brackets each median; values are counted per distinct
+    value inside the bracket, before and after the shuffle, and the middle ranks are read from
+    the running count. Only about 0.1 % of a group is ever ordered in one task.
     """
     named = F.array(*[F.struct(F.lit(name).alias("what"), value.cast("double").alias("v"))
                       for name, value in values.items()])
@@ -50,7 +49,7 @@ def group_medians(df: DataFrame, keys: list[str], values: dict[str, Column],
         F.approx_percentile("v", [0.5 - _HALF_BRACKET, 0.5 + _HALF_BRACKET], _ACCURACY).alias("b"))
     inside = F.when(F.col("v") >= F.col("b")[0], F.col("v"))
     counted = (
-        _with_bracket(long, bracket, group, hot_rows)
+        long.join(F.broadcast(bracket), group)
         .filter(F.col("v") <= F.col("b")[1])
         # all values below the bracket share the null slot
         .groupBy(*group, "n", inside.alias("slot"))
@@ -64,5 +63,7 @@ def group_medians(df: DataFrame, keys: list[str], values: dict[str, Column],
     middle = ranked.groupBy(*group).agg(at(lower).alias("m1"), at(upper).alias("m2"))
     outside = F.raise_error(F.lit("median outside its bracket")).cast("double")
     median = F.coalesce((F.col("m1") + F.col("m2")) / 2, outside)
-    return middle.groupBy(*keys).agg(
+    # a group whose values are all null has no row here
+    found = middle.groupBy(*keys).agg(
         *[F.max(F.when(F.col("what") == name, median)).alias(name) for name in values])
+    return df.select(*keys).distinct().join(F.broadcast(found), keys, "left")

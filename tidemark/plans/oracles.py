@@ -374,6 +374,13 @@ _BAR_OLD = """
 
 RESULTS: dict[str, str] = {
     "markets": f"SELECT {_MARKET} FROM fx_markets",
+    "market_times": """
+        SELECT id,
+          CASE WHEN id::BIGINT % 4 < 2 THEN day + 18367
+               WHEN id::BIGINT % 4 = 2 THEN day + 18367 - 7200 END AS created_at,
+          CASE WHEN id::BIGINT % 3 = 0 THEN day + 82800 END AS closed_at
+        FROM (SELECT id, epoch_us(createdAt[1:10]::TIMESTAMP) // 1000000 AS day
+              FROM fx_markets) m""",
     "order_fills": f"SELECT {_FILL} FROM fx_landed",
     "parse_markets": f"{_parsed('bulk')} UNION ALL {_parsed('by_token')}",
     "parse_events": f"""

@@ -76,8 +76,13 @@ def trades(spark, d) -> DataFrame:
     return L.label_trades(fills(spark, d), markets(spark, d))
 
 
+def trades_and_markets(spark, d) -> tuple[DataFrame, DataFrame]:
+    known = markets(spark, d)
+    return L.label_trades(fills(spark, d), known), known
+
+
 def sides(spark, d) -> DataFrame:
-    return X.side_metrics(trades(spark, d), markets(spark, d))
+    return X.side_metrics(*trades_and_markets(spark, d))
 
 
 def bars(spark, d) -> DataFrame:
@@ -108,6 +113,19 @@ def markets_(spark, d):
 
 
 
+@query
+def market_times(spark, d):
+    """Creation times in the three text forms that listings use; an unreadable one is null."""
+    known = M.by_creation(markets(spark, d))
+    day, key = F.substring("createdAt", 1, 10), F.col("id").cast("long")
+    forms = known.withColumns({
+        "createdAt": F.when(key % 4 == 0, F.concat(day, F.lit("T05:06:07.891Z")))
+        .when(key % 4 == 1, F.concat(day, F.lit(" 05:06:07+00:00")))
+        .when(key % 4 == 2, F.concat(day, F.lit("T05:06:07+02:00"))).otherwise(F.lit("soon")),
+        "closedTime": F.when(key % 3 == 0, F.concat(day, F.lit(" 23:00:00+00")))})
+    return M.market_times(forms).select("id", "created_at", "closed_at")
+
+
 @query
 def order_fills(spark, d):
     return FL.order_fills(V.landed_fills(spark, d))
@@ -295,8 +313,9 @@ def trades_of_wallet(spark, d):
 @query
 def trades_of_market(spark, d):
     """All trades of the least traded market whose question matches."""
-    target = M.find_market(markets(spark, d), "^(red|blue) ")
-    return trades(spark, d).join(
+    labelled, known = trades_and_markets(spark, d)
+    target = M.find_market(known, "^(red|blue) ")
+    return labelled.join(
         target.select(F.col("id").alias("market_id")), "market_id", "left_semi")
 
 
@@ -355,14 +374,14 @@ def ranked(spark, d, min_markets: int) -> DataFrame:
 
 @query
 def leaderboard_metrics(spark, d):
-    found = X.leaderboard_metrics(V.leaderboard(spark, d), trades(spark, d), markets(spark, d))
+    found = X.leaderboard_metrics(V.leaderboard(spark, d), *trades_and_markets(spark, d))
     return rounded(found, **TRADER_DIGITS)
 
 
 @query
 def wallet_pnl(spark, d):
     """Profit per wallet with unmatched trades as one group of their own."""
-    held = X.side_metrics(trades(spark, d), markets(spark, d), include_unmatched=True)
+    held = X.side_metrics(*trades_and_markets(spark, d), include_unmatched=True)
     return X.wallet_pnl(held)
 
 
