@@ -64,7 +64,10 @@ def test_quality_report(spark, known):
         fill("d", "X", 1, "0", 1), fill("e", "0", 1, "X", 1)], schemas.FILLS)
     got = {r["check"]: r["rows"] for r in L.quality_report(fills, known).collect()}
     assert got == {"fills": 5, "token_swaps": 1, "cash_swaps": 1, "zero_amounts": 1,
-                   "unmatched_maker_tokens": 2, "unmatched_taker_tokens": 1}
+                   "unmatched_maker_tokens": 2, "unmatched_taker_tokens": 1, "shared_tokens": 0}
+    twice = known.unionByName(spark.createDataFrame([market("m9", "T1", "T9")], schemas.MARKETS))
+    got = {r["check"]: r["rows"] for r in L.quality_report(fills, twice).collect()}
+    assert got["shared_tokens"] == 1
 
 
 def test_markets_keep_first_and_empty_tokens(spark):

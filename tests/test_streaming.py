@@ -86,3 +86,18 @@ def test_labels_and_last_price(spark, tiny, tmp_path):
     stream = L.label_trades(J.stream_fills(spark, folder, 1), markets)
     J.stream_last_price(stream, str(tmp_path / "p"), str(tmp_path / "cp2")).awaitTermination()
     assert same(J.read_last_price(spark, str(tmp_path / "p")), P.last_price(batch))
+
+
+def test_replayed_batch_changes_nothing(spark, tiny, tmp_path):
+    """Forget the last commit, as a crash before it would, so that its batch runs again."""
+    ticks = V.ticks(spark, tiny)
+    path = land(ticks, str(tmp_path / "in"), True)
+    out, cp = tmp_path / "out", tmp_path / "cp"
+    for _ in range(2):
+        stream = J.stream_fills(spark, path, 1, ticks.schema)
+        J.stream_ohlcv(stream, str(out), str(cp)).awaitTermination()
+        rows = J.read_ohlcv(spark, str(out)).count()
+        assert same(J.read_ohlcv(spark, str(out)), B.ohlcv(ticks)) and rows == 977
+        last = max((cp / "commits").iterdir(), key=lambda f: f.name if f.name.isdigit() else "")
+        last.unlink()
+        (cp / "commits" / f".{last.name}.crc").unlink(missing_ok=True)

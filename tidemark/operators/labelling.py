@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -73,25 +75,26 @@ def incremental_trades(fills: DataFrame, trades: DataFrame, markets: DataFrame,
 
 
 def quality_report(fills: DataFrame, markets: DataFrame) -> DataFrame:
-    """Counts of the rows whose labels deserve a second look."""
+    """Counts of what deserves a second look, as (check, rows).
+
+    A token that several markets list would label its fills once per market.
+    """
     trades = label_trades(fills, markets)
-    asset_kind = F.concat((F.col("makerAssetId") == ff.USDC_ASSET).cast("int"),
-                          (F.col("takerAssetId") == ff.USDC_ASSET).cast("int"))
-    per_fill = fills.agg(
-        F.count(F.lit(1)).alias("fills"),
-        F.count_if(asset_kind == "00").alias("token_swaps"),
-        F.count_if(asset_kind == "11").alias("cash_swaps"),
-        F.count_if((F.col("makerAmountFilled") == 0) | (F.col("takerAmountFilled") == 0))
-        .alias("zero_amounts"),
-    )
-    per_trade = trades.agg(
-        F.count_if(~F.col("is_matched") & (F.col("nonusdc_side") == ff.USDC))
-        .alias("unmatched_maker_tokens"),
-        F.count_if(~F.col("is_matched") & F.col("nonusdc_side").isNull())
-        .alias("unmatched_taker_tokens"),
-    )
-    def long(df):
-        return df.select(F.explode(F.map_from_arrays(
-            F.array(*[F.lit(c) for c in df.columns]),
-            F.array(*[F.col(c) for c in df.columns]))).alias("check", "rows"))
-    return long(per_fill).unionByName(long(per_trade))
+    maker_cash = F.col("makerAssetId") == ff.USDC_ASSET
+    taker_cash = F.col("takerAssetId") == ff.USDC_ASSET
+    no_market, side = ~F.col("is_matched"), F.col("nonusdc_side")
+    checks = [
+        fills.agg(
+            F.count(F.lit(1)).alias("fills"),
+            F.count_if(~maker_cash & ~taker_cash).alias("token_swaps"),
+            F.count_if(maker_cash & taker_cash).alias("cash_swaps"),
+            F.count_if((F.col("makerAmountFilled") == 0) | (F.col("takerAmountFilled") == 0))
+            .alias("zero_amounts")),
+        trades.agg(
+            F.count_if(no_market & (side == ff.USDC)).alias("unmatched_maker_tokens"),
+            F.count_if(no_market & side.isNull()).alias("unmatched_taker_tokens")),
+        markets_long(markets).groupBy("asset_id").agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.count_if(F.col("n") > 1).alias("shared_tokens")),
+    ]
+    rows = [one.unpivot([], one.columns, "check", "rows") for one in checks]
+    return reduce(DataFrame.unionByName, rows)

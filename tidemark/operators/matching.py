@@ -9,11 +9,16 @@ from tidemark.functions.amounts import from_units, settle, to_units
 from tidemark.functions.bins import DEPTH_LABELS, depth_order
 
 
-def match_depth(trades: DataFrame) -> DataFrame:
+def match_depth(trades: DataFrame, rsd: float | None = None) -> DataFrame:
     """Distinct makers and cash volume per transaction; a null maker counts as one value.
 
-    Grouped by (transaction, maker) first, so no transaction is held in one task.
+    Grouped by (transaction, maker) first, so no transaction is held in one task. With ``rsd``
+    (relative deviation) a sketch counts the makers in one step instead, null ones not included.
     """
+    if rsd is not None:
+        return trades.groupBy("transactionHash").agg(
+            F.approx_count_distinct("maker", rsd).alias("num_makers_matched"),
+            from_units(F.sum(to_units(F.col("usd_amount")))).alias("total_volume"))
     per_maker = trades.groupBy("transactionHash", "maker").agg(
         F.sum(to_units(F.col("usd_amount"))).alias("units"))
     return per_maker.groupBy("transactionHash").agg(

@@ -185,7 +185,8 @@ VIEWS: dict[str, str] = {
           row_number() OVER (PARTITION BY market_id ORDER BY timestamp) AS n
         FROM fx_bars""",
     "fx_params": """
-        SELECT * FROM (VALUES (10, 50, 0.02::DOUBLE), (20, 100, 0.05::DOUBLE),
+        SELECT fast::BIGINT AS fast, slow::BIGINT AS slow, stop_loss
+        FROM (VALUES (10, 50, 0.02::DOUBLE), (20, 100, 0.05::DOUBLE),
                               (50, 200, 0.02::DOUBLE)) p(fast, slow, stop_loss)""",
     "fx_ma": """
         SELECT u.*, fast, slow, stop_loss,
@@ -332,7 +333,7 @@ def _trade_analysis() -> str:
         f"count(*) FILTER ({won}) AS won", f"count(*) FILTER ({lost}) AS lost",
         f"count(*) FILTER ({closed}) AS long_total", f"count(*) FILTER ({won}) AS long_won",
         f"count(*) FILTER ({lost}) AS long_lost",
-        "0 AS short_total", "0 AS short_won", "0 AS short_lost",
+        "0::BIGINT AS short_total", "0::BIGINT AS short_won", "0::BIGINT AS short_lost",
         _money("pnl_gross", gross, closed), _money("pnl_net", "pnl", closed),
         _money("pnl_long", "pnl", closed), _money("pnl_long_won", "pnl", won),
         _money("pnl_long_lost", "pnl", lost), _money("pnl_short", "pnl", none),
@@ -389,11 +390,11 @@ RESULTS: dict[str, str] = {
         SELECT {_FILL.replace('id, ts AS', "concat(id, '-b') AS id, ts + 1 AS")} FROM fx_landed""",
     "merge_segments": f"SELECT {_FILL} FROM fx_fills",
     "time_segments": """
-        SELECT i::INT AS segment, lo + i * ((hi - lo) // 5) AS start_ts,
+        SELECT i::BIGINT AS segment, lo + i * ((hi - lo) // 5) AS start_ts,
           CASE WHEN i = 4 THEN hi ELSE lo + (i + 1) * ((hi - lo) // 5) END AS end_ts
         FROM fx_bounds, range(5) r(i)""",
     "ingest_counts": """
-        SELECT i::INT AS segment, count(*) AS records, count(DISTINCT id) AS ids,
+        SELECT i::BIGINT AS segment, count(*) AS records, count(DISTINCT id) AS ids,
           min(ts) AS first_ts, max(ts) AS last_ts
         FROM fx_landed, (SELECT i, lo + i * ((hi - lo) // 5) AS a,
           CASE WHEN i = 4 THEN hi ELSE lo + (i + 1) * ((hi - lo) // 5) END AS b
@@ -427,6 +428,8 @@ RESULTS: dict[str, str] = {
           WHERE makerAssetId = '0' AND takerAssetId = '0'
         UNION ALL SELECT 'zero_amounts', count(*) FROM fx_fills
           WHERE makerAmountFilled * takerAmountFilled = 0
+        UNION ALL SELECT 'shared_tokens', count(*) FROM (
+          SELECT asset_id FROM fx_tokens GROUP BY asset_id HAVING count(*) > 1) t
         UNION ALL SELECT 'unmatched_maker_tokens', count(*) FROM fx_trades
           WHERE market_id IS NULL AND nonusdc_side = 'USDC'
         UNION ALL SELECT 'unmatched_taker_tokens', count(*) FROM fx_trades
@@ -507,7 +510,7 @@ RESULTS: dict[str, str] = {
         SELECT count(*) AS transactions, {even("avg(num_makers_matched)", 6)} AS avg_makers,
           median(num_makers_matched)::DOUBLE AS median_makers FROM fx_depth""",
     "volume_by_depth": f"""
-        SELECT bin_order, bin, sum(units)::BIGINT / 1e6 AS total_volume,
+        SELECT bin_order::BIGINT AS bin_order, bin, sum(units)::BIGINT / 1e6 AS total_volume,
           {even("sum(units)::DOUBLE / sum(sum(units)) OVER () * 100", 4)} AS volume_pct
         FROM fx_depth JOIN (VALUES (0, '1', 0, 1), (1, '2', 1, 2), (2, '3', 2, 3),
           (3, '4-5', 3, 5), (4, '6-10', 5, 10), (5, '11-25', 10, 25), (6, '26-50', 25, 50),
@@ -542,7 +545,7 @@ RESULTS: dict[str, str] = {
                 sum(cu) OVER (w ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS s50,
                 sum(cu) OVER (w ROWS BETWEEN 199 PRECEDING AND CURRENT ROW) AS s200
               FROM fx_units WINDOW w AS (PARTITION BY market_id ORDER BY timestamp)) u""",
-    "crossover": 'SELECT market_id, timestamp, "cross" FROM fx_cross WHERE fast = 50',
+    "crossover": 'SELECT market_id, timestamp, "cross"::BIGINT AS "cross" FROM fx_cross WHERE fast = 50',
     "episodes": f"""
         SELECT * EXCLUDE (fast, slow, factor), {even("factor", 9)} AS factor FROM fx_episodes""",
     "equity": f"""
@@ -553,7 +556,7 @@ RESULTS: dict[str, str] = {
         SELECT market_id, timestamp, {even("equity", 1)} AS equity,
           {even("position_value", 1)} AS position_value FROM fx_curve""",
     "param_grid": f"""
-        SELECT market_id, CASE fast WHEN 10 THEN 0 WHEN 20 THEN 1 ELSE 2 END AS param_id, fast,
+        SELECT market_id, CASE fast WHEN 10 THEN 0 WHEN 20 THEN 1 ELSE 2 END::BIGINT AS param_id, fast,
           slow, CASE fast WHEN 20 THEN 0.05::DOUBLE ELSE 0.02::DOUBLE END AS stop_loss,
           count(*) AS trades, count(*) FILTER (pnl > 0) AS won,
           {even("arg_max(cash_after, episode_id)", 1)} AS final_cash,
@@ -599,7 +602,7 @@ RESULTS: dict[str, str] = {
     "annual_return": f"""
         SELECT market_id, year, {even('''equity / coalesce(lag(equity) OVER (
             PARTITION BY market_id ORDER BY year), 10000::DOUBLE) - 1''', 6)} AS annual_return
-        FROM (SELECT market_id, year(make_timestamp(timestamp * 1000000))::INT AS year,
+        FROM (SELECT market_id, year(make_timestamp(timestamp * 1000000))::BIGINT AS year,
                 arg_max(equity, timestamp) AS equity FROM fx_curve GROUP BY ALL) y""",
     "drawdown": f"""
         SELECT market_id, arg_max(length, n) AS length,

@@ -51,9 +51,11 @@ def query(fn: Callable[[SparkSession, str], DataFrame]):
 
 
 def plain(df: DataFrame) -> DataFrame:
-    """Timestamps as epoch seconds."""
+    """Timestamps as epoch seconds, whole numbers in one width."""
     times = [f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampType)]
-    return df.withColumns({c: F.unix_seconds(F.col(c)) for c in times})
+    narrow = [f.name for f in df.schema.fields if isinstance(f.dataType, T.IntegerType)]
+    return df.withColumns({**{c: F.unix_seconds(F.col(c)) for c in times},
+                           **{c: F.col(c).cast("long") for c in narrow}})
 
 
 def rounded(df: DataFrame, **digits: int) -> DataFrame:
