@@ -16,12 +16,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Rows of a few files over all cores; an input of many files stays as it is.
+    """Rows of an input with few splits over all cores; a larger input stays as it is.
 
     Each given table is one file with one row group, which a single task would read and map.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores, *df.columns) if df.rdd.getNumPartitions() < cores else df
 
 
 def epoch_seconds(ts: Column) -> Column:
