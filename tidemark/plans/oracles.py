@@ -559,14 +559,14 @@ RESULTS: dict[str, str] = {
         SELECT market_id, CASE fast WHEN 10 THEN 0 WHEN 20 THEN 1 ELSE 2 END::BIGINT AS param_id, fast,
           slow, CASE fast WHEN 20 THEN 0.05::DOUBLE ELSE 0.02::DOUBLE END AS stop_loss,
           count(*) AS trades, count(*) FILTER (pnl > 0) AS won,
-          {even("arg_max(cash_after, episode_id)", 1)} AS final_cash,
-          {even("arg_max(cash_after, episode_id) / 10000", 4)} AS growth,
+          {even("ln(arg_max(cash_after, episode_id) / 10000)", 9)} AS log_growth,
           {even("count(*) FILTER (pnl > 0) / count(*)::DOUBLE", 6)} AS win_share
         FROM fx_equity_all GROUP BY market_id, fast, slow""",
     "param_grid_top": f"""
         SELECT market_id, fast, slow, count(*) AS trades,
-          {even("arg_max(cash_after, episode_id)", 1)} AS final_cash
-        FROM fx_equity_all GROUP BY market_id, fast, slow ORDER BY final_cash DESC LIMIT 5""",
+          {even("ln(arg_max(cash_after, episode_id) / 10000)", 9)} AS log_growth
+        FROM fx_equity_all GROUP BY market_id, fast, slow
+        ORDER BY arg_max(cash_after, episode_id) DESC LIMIT 5""",
     "master_clock": "SELECT * FROM fx_clock",
     "axis_index": """
         SELECT run_id, timestamp,

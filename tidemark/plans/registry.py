@@ -471,19 +471,23 @@ def equity_curve(spark, d):
     return rounded(backtest(spark, d).curve, equity=1, position_value=1).drop("close")
 
 
+def log_growth() -> Column:
+    """Cash of a run can reach 10**13 here, so results are compared by growth in logarithms."""
+    return F.ln(F.col("final_cash") / 10_000)
+
+
 @query
 def param_grid(spark, d):
     grid = G.param_grid(bars(spark, d), GRID, columns={
-        "growth": F.col("final_cash") / 10_000, "win_share": F.col("won") / F.col("trades")})
-    return rounded(grid, final_cash=1, growth=4, win_share=6)
+        "log_growth": log_growth(), "win_share": F.col("won") / F.col("trades")})
+    return rounded(grid, log_growth=9, win_share=6).drop("final_cash")
 
 
 @query
 def param_grid_top(spark, d):
-    grid = G.param_grid(bars(spark, d), GRID)
-    top = G.param_grid_top(grid, "final_cash", 5)
-    return rounded(top, final_cash=1).select(
-        "market_id", "fast", "slow", "trades", "final_cash")
+    grid = G.param_grid(bars(spark, d), GRID, columns={"log_growth": log_growth()})
+    return rounded(G.param_grid_top(grid, "final_cash", 5), log_growth=9).select(
+        "market_id", "fast", "slow", "trades", "log_growth")
 
 
 # --- series ------------------------------------------------------------------------------
