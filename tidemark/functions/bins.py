@@ -20,7 +20,3 @@ def depth_order(makers: Column) -> Column:
         F.when((makers <= 0) | makers.isNull(), F.lit(None).cast("int")),
     )
     return inside.otherwise(F.lit(len(DEPTH_BOUNDS)))
-
-
-def depth_label(makers: Column) -> Column:
-    return F.get(F.array(*[F.lit(label) for label in DEPTH_LABELS]), depth_order(makers))
