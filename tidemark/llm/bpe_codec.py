@@ -6,8 +6,8 @@ Decoding puts tokens together as the tokenizer file's decoder says; a file witho
 them by single spaces.
 
 The file's normalizer and pre-tokenizer give the words of a chunk, and strings of added tokens
-are taken out of the raw text first. Chunks between spaces are independent, because spaces never
-belong to a word here. Null texts count as empty.
+are taken out of the raw text first. Chunks between spaces (or line breaks, which the normalizer
+makes spaces) are independent, because spaces never belong to a word here. Null texts count as empty.
 """
 
 from __future__ import annotations
@@ -18,23 +18,26 @@ import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from operator import itemgetter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tidemark.llm.bpe_merge import ID_BITS, heap_merge, pair_table
 from tidemark.llm.tables import id_and_text, prepared
-from tidemark.llm.text_chunks import RecentCache
+from tidemark.llm.text_chunks import BYTE_LEVEL, LATIN, RecentCache
 
-#: The word pattern whose result on plain ASCII chunks ``_ASCII_WORDS`` gives as well.
+#: The word pattern whose result on chunks of Latin letters, digits and plain punctuation
+#: ``_LATIN_WORDS`` gives as well.
 _WORD_PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-_ASCII_CHUNK = re.compile(r"[!-&(-;=-~]+").fullmatch
-_ASCII_WORDS = re.compile(r"[a-z]+|[0-9]|[^a-z0-9]+").findall
+_LATIN_CHUNK = re.compile(rf"[{LATIN}0-9!-&(-/:;=-@\[-`{{-~]+").fullmatch
+_LATIN_WORDS = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+").findall
 _NORMAL = ["NFC", "Replace", "Lowercase"]
 
 #: Longer fragments are merged with the heap: a scan takes the square of the length.
 SCAN_SYMBOLS = 32
 _NONE = 1 << 62
+_FIRST, _SECOND = itemgetter(0), itemgetter(1)
 _ID = (1 << ID_BITS) - 1
 
 CODEC_ROW = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -143,19 +146,22 @@ class Codec:
     def decode(self, ids: list[int]) -> str:
         return " ".join(self.token[i] for i in ids)
 
-    def _encode_chunk(self, chunk: str) -> tuple[bytes, str | None]:
-        if self.plain_words and _ASCII_CHUNK(chunk):
-            ids = [i for word in _ASCII_WORDS(chunk.lower()) for i in self.words[word]]
+    def _encode_chunk(self, chunk: str) -> tuple[bytes, str]:
+        """Packed ids, and the decoded tokens with a space before each."""
+        if self.plain_words and _LATIN_CHUNK(chunk):
+            ids = [i for word in _LATIN_WORDS(chunk.lower())
+                   for i in self.words[word.translate(BYTE_LEVEL)]]
         else:
             ids = self.encode(chunk)
-        return array("I", ids).tobytes(), self.decode(ids) if ids else None
+        return array("I", ids).tobytes(), f" {self.decode(ids)}" if ids else ""
 
     def digests(self, text: str) -> tuple[int, str, str]:
         """Number of ids, SHA-256 of the ids (four little-endian bytes each) and of the decoded
         text."""
-        done = [self.chunks[c] for c in text.split(" ")]
-        packed = b"".join([p for p, _ in done])
-        decoded = " ".join([d for _, d in done if d is not None])
+        chunks = text.replace("\n", " ").split(" ") if self.plain_words else text.split(" ")
+        done = list(map(self.chunks.__getitem__, chunks))
+        packed = b"".join(map(_FIRST, done))
+        decoded = "".join(map(_SECOND, done))[1:]
         return (len(packed) // 4, hashlib.sha256(packed).hexdigest(),
                 hashlib.sha256(decoded.encode()).hexdigest())
 

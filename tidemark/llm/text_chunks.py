@@ -14,15 +14,39 @@ from collections.abc import Callable
 _DOUBLE = re.compile(r"\s\s")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
+#: Latin letters whose class, composed form and lower case no Unicode version or rule changes.
+LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
+#: ASCII punctuation but the apostrophe, which may start a contraction.
+PUNCTUATION = r"!-&(-/:-@\[-`{-~"
+
+
+def _byte_characters() -> list[str]:
+    """The character that stands for each byte in byte-level vocabularies: its own where that
+    is a visible Latin-1 character, else the next one from 256 on."""
+    visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = iter(range(256, 512))
+    return [chr(b) if b in visible else chr(next(others)) for b in range(256)]
+
+
+_BYTES = _byte_characters()
+#: For ``str.translate``: letters of ``LATIN`` beyond ASCII as the characters of their bytes.
+BYTE_LEVEL = {c: "".join(_BYTES[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
+SPACE, LINE_BREAK = _BYTES[0x20], _BYTES[0x0A]
+
 #: Chunks remembered per generation; two generations are held.
-CACHE_ENTRIES = 150_000
+CACHE_ENTRIES = 300_000
 #: Longer chunks are worked out each time, so that entries stay small.
 CACHE_KEY_CHARS = 64
 
 
+def single_spaced(text: str) -> bool:
+    """Whether no two white-space characters are neighbours."""
+    return _DOUBLE.search(text) is None
+
+
 def chunks(text: str) -> list[str]:
     """The text cut before every single space; the spaces themselves are left out."""
-    if _DOUBLE.search(text):
+    if not single_spaced(text):
         return _CUT.split(text)
     return text.split(" ")
 

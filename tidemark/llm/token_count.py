@@ -18,10 +18,11 @@ from pyspark.sql import DataFrame
 
 from tidemark.llm.bpe_merge import heap_merge, pair_table
 from tidemark.llm.tables import id_and_text, prepared
-from tidemark.llm.text_chunks import RecentCache, chunks
+from tidemark.llm.text_chunks import (
+    BYTE_LEVEL, LATIN, LINE_BREAK, PUNCTUATION, SPACE, RecentCache, chunks, single_spaced)
 
-#: ASCII letters and then plain punctuation are two pieces that the byte-level map leaves alone.
-_PLAIN = re.compile(r"([A-Za-z]+)([!-&(-/:-@\[-`{-~]*)").fullmatch
+#: Latin letters and then plain punctuation: two pieces whose byte-level form is known.
+_PLAIN = re.compile(rf"([{LATIN}]+)([{PUNCTUATION}]*)").fullmatch
 
 COUNT_ROW = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 
@@ -69,10 +70,16 @@ class Counter:
 
     def _count_spaced(self, chunk: str) -> int:
         plain = _PLAIN(chunk)
-        if plain is None:
-            return self._count_chunk(" " + chunk)
-        return (self.piece_counts["Ġ" + plain[1]]
-                + (self.piece_counts[plain[2]] if plain[2] else 0))
+        if plain is not None:
+            letters, marks = plain.groups()
+            if not letters.isascii():
+                letters = letters.translate(BYTE_LEVEL)
+            return self.piece_counts[SPACE + letters] + (self.piece_counts[marks] if marks else 0)
+        if "\n" in chunk and single_spaced(f" {chunk}."):  # a lone line break is a piece
+            head, *lines = chunk.split("\n")
+            return self.later[head] + sum(
+                [self.piece_counts[LINE_BREAK] + (self.first[x] if x else 0) for x in lines])
+        return self._count_chunk(" " + chunk)
 
     def _count_plain(self, text: str) -> int:
         return sum(self.piece_counts[piece] for piece, _ in self.pieces(text)) if text else 0

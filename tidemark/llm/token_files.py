@@ -32,7 +32,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.tables import id_and_text, prepared
-from tidemark.llm.text_chunks import RecentCache, chunks
+from tidemark.llm.text_chunks import (
+    BYTE_LEVEL, LATIN, LINE_BREAK, PUNCTUATION, SPACE, RecentCache, chunks, single_spaced)
 from tidemark.session import fresh_dir
 
 SEQUENCE = 1024
@@ -42,8 +43,8 @@ BATCH = 256
 SHARD_ROW = "shard int, doc_id long, local_start long, n_tokens long, file string"
 DOC_ROW = "shard int, doc_id long, local_start long, n_tokens long, ids_crc32 long"
 
-#: ASCII letters and then plain punctuation: pieces whose text the byte-level map leaves alone.
-_PLAIN = re.compile(r"([A-Za-z]+)([!-&(-/:-@\[-`{-~]*)").fullmatch
+#: Latin letters and then plain punctuation: two pieces whose byte-level form is known.
+_PLAIN = re.compile(rf"([{LATIN}]+)([{PUNCTUATION}]*)").fullmatch
 
 
 def id_type(vocabulary: int) -> np.dtype:
@@ -72,21 +73,38 @@ class Encoder:
         self.by_chunks = (pre.startswith("ByteLevel(add_prefix_space=False")
                           and "use_regex=True" in pre and self.tokenizer.normalizer is None
                           and not any(" " in s or s.isalpha() for s in special))
-        self.first = RecentCache(self._encode)
-        self.later = RecentCache(self._encode_spaced)
+        self.tokenize = self.tokenizer.model.tokenize
+        self.pieces = RecentCache(self._encode_piece)
+        self.first = RecentCache(self._encode_first)
+        self.later = RecentCache(self._encode_later)
 
     def _encode(self, text: str) -> bytes:
         return self.pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def _encode_spaced(self, chunk: str) -> bytes:
+    def _encode_piece(self, piece: str) -> bytes:
+        """A piece of which the byte-level form is known, without another pre-tokenization."""
+        return self.pack([t.id for t in self.tokenize(piece)])
+
+    def _encode_plain(self, letters: str, marks: str, space: str = "") -> bytes:
+        if not letters.isascii():
+            letters = letters.translate(BYTE_LEVEL)
+        return self.pieces[space + letters] + (self.pieces[marks] if marks else b"")
+
+    def _encode_first(self, chunk: str) -> bytes:
         plain = _PLAIN(chunk)
         if plain is None:
-            return self._encode(" " + chunk)
-        model = self.tokenizer.model
-        ids = [t.id for t in model.tokenize("Ġ" + plain[1])]
-        if plain[2]:
-            ids += [t.id for t in model.tokenize(plain[2])]
-        return self.pack(ids)
+            return self._encode(chunk)
+        return self._encode_plain(*plain.groups())
+
+    def _encode_later(self, chunk: str) -> bytes:
+        plain = _PLAIN(chunk)
+        if plain is not None:
+            return self._encode_plain(*plain.groups(), SPACE)
+        if "\n" in chunk and single_spaced(f" {chunk}."):  # a lone line break is a piece
+            head, *lines = chunk.split("\n")
+            return self.later[head] + b"".join(
+                [x for line in lines for x in (self.pieces[LINE_BREAK], self.first[line] if line else b"")])
+        return self._encode(" " + chunk)
 
     def bytes_of(self, text: str) -> bytes:
         if not self.by_chunks:
