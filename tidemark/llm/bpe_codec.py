@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 
 from tidemark.llm.bpe_merge import ID_BITS, heap_merge, pair_table
 from tidemark.llm.tables import id_and_text, prepared
-from tidemark.llm.text_chunks import BYTE_LEVEL, LATIN, RecentCache
+from tidemark.llm.text_chunks import BYTE_LEVEL, CACHE_ENTRIES, LATIN, RecentCache
 
 #: The word pattern whose result on chunks of Latin letters, digits and plain punctuation
 #: ``_LATIN_WORDS`` gives as well.
@@ -98,8 +98,8 @@ class Codec:
         probe = self.pre_tokenize("a b")
         if [piece for piece, _ in probe] != ["a", "b"]:
             raise ValueError(f"{path}: its words may hold spaces")
-        self.fragments = RecentCache(self._encode_fragment)
-        self.words = RecentCache(self._encode_word)
+        self.fragments = RecentCache(self._encode_fragment, CACHE_ENTRIES // 4)
+        self.words = RecentCache(self._encode_word, CACHE_ENTRIES // 2)
         self.chunks = RecentCache(self._encode_chunk)
 
     def _symbols(self, word: str) -> list[str]:

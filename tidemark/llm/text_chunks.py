@@ -33,8 +33,8 @@ _BYTES = _byte_characters()
 BYTE_LEVEL = {c: "".join(_BYTES[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
 SPACE, LINE_BREAK = _BYTES[0x20], _BYTES[0x0A]
 
-#: Chunks remembered per generation; two generations are held.
-CACHE_ENTRIES = 300_000
+#: Chunks remembered before the memory starts anew.
+CACHE_ENTRIES = 600_000
 #: Longer chunks are worked out each time, so that entries stay small.
 CACHE_KEY_CHARS = 64
 
@@ -52,21 +52,18 @@ def chunks(text: str) -> list[str]:
 
 
 class RecentCache(dict):
-    """``cache[key]`` is ``compute(key)``; at most two generations of keys are held."""
+    """``cache[key]`` is ``compute(key)``; it holds ``entries`` keys at most and then starts anew,
+    which costs each of the frequent keys one computation."""
 
     def __init__(self, compute: Callable, entries: int = CACHE_ENTRIES,
                  key_chars: int = CACHE_KEY_CHARS):
         super().__init__()
         self.compute, self.entries, self.key_chars = compute, entries, key_chars
-        self.older: dict = {}
 
     def __missing__(self, key):
-        value = self.older.get(key)
-        if value is None:
-            value = self.compute(key)
+        value = self.compute(key)
         if len(key) <= self.key_chars:
             if len(self) >= self.entries:
-                self.older = dict(self)
                 self.clear()
             self[key] = value
         return value
