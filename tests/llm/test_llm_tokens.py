@@ -1,0 +1,164 @@
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+import llm_cases as C
+from tidemark.llm import bpe_codec, token_count, token_files
+from tidemark.llm.bpe_merge import heap_merge
+from tidemark.llm.queries import BYTE_BPE, WORD_BPE
+from tidemark.llm.text_chunks import RecentCache, chunks
+from tidemark.session import fresh_dir
+
+ALPHABET = list(" \n\t\r\x0b\x0c\x1c\x1f\x85\u00a0\u2003\u3000abcXYZ019'.,!?<|>ÀéßİΣςσŉǅ\u0301中文😀"
+                "¹²½Ⅷ\u200b\u200d\ufeff\x00ΩK") + [
+    "'s", "'LL", "'re", "<|endoftext|>", "<|startoftext|>", " <|endoftext|> ", "the ", " of", "  "]
+
+
+def texts():
+    rng = random.Random(5)
+    odd = ["".join(rng.choices(ALPHABET, k=rng.randint(0, 40))) for _ in range(4000)]
+    return odd + [t or "" for _, t, _ in C.ODD] + ["", " ", "  a", "a  ", "ab " * 400]
+
+
+@pytest.fixture(scope="module")
+def byte_bpe():
+    return Tokenizer.from_file(BYTE_BPE)
+
+
+@pytest.fixture(scope="module")
+def word_bpe():
+    return Tokenizer.from_file(WORD_BPE)
+
+
+def ids_of(tokenizer, text):
+    return tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_counts_equal_the_library(byte_bpe):
+    count = token_count.counter(BYTE_BPE).count
+    assert all(count(t) == len(ids_of(byte_bpe, t)) for t in texts())
+
+
+def test_encoder_equals_the_library(byte_bpe):
+    enc = token_files.encoder(BYTE_BPE)
+    assert enc.by_chunks
+    for t in texts():
+        assert np.frombuffer(enc.bytes_of(t), enc.dtype).tolist() == ids_of(byte_bpe, t)
+
+
+def test_other_tokenizers_encode_whole_texts(word_bpe):
+    enc = token_files.Encoder(WORD_BPE)
+    assert not enc.by_chunks
+    assert np.frombuffer(enc.bytes_of("A b\nC"), enc.dtype).tolist() == ids_of(word_bpe, "A b\nC")
+
+
+def test_codec_equals_the_library(word_bpe):
+    own = bpe_codec.codec(WORD_BPE)
+    for t in texts():
+        ids = ids_of(word_bpe, t)
+        text = word_bpe.decode(ids, skip_special_tokens=False)
+        assert own.encode(t) == ids and own.decode(ids) == text
+        assert own.digests(t) == (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(),
+                                  hashlib.sha256(text.encode()).hexdigest())
+
+
+def test_cuts_change_nothing():
+    own, rng = bpe_codec.codec(WORD_BPE), random.Random(2)
+    symbols = [c for c in own.vocab if len(c) == 1]
+    cut = 0
+    for _ in range(500):
+        word = "".join(rng.choices(symbols, k=rng.randint(1, 60)))
+        whole = [own.vocab[s] for s in own._symbols(word)]
+        heap_merge(whole, own.pairs)
+        assert own._encode_word(word) == [s for s in whole if s >= 0]
+        cut += len(own.cut(word)) > 1
+    assert cut > 100
+
+
+def test_wrong_kinds_are_refused():
+    with pytest.raises(ValueError):
+        token_count.Counter(WORD_BPE)
+    with pytest.raises(ValueError):
+        bpe_codec.Codec(BYTE_BPE)
+
+
+def test_heap_takes_lowest_rank_then_leftmost():
+    from tidemark.llm.bpe_merge import pair_table
+    vocab = {"a": 0, "b": 1, "ab": 2, "aa": 3, "aba": 4}
+    pairs = pair_table(vocab, [("a", "a"), ("a", "b"), ("ab", "a")])
+    word = [0, 0, 0, 1, 0]
+    assert heap_merge(word, pairs) == 3
+    assert [s for s in word if s >= 0] == [3, 4]
+
+
+def test_cache_is_bounded():
+    cache = RecentCache(len, entries=10, key_chars=5)
+    assert [cache["x" * (i % 40)] for i in range(400)] == [i % 40 for i in range(400)]
+    for i in range(1000):
+        cache[str(i)]
+        assert len(cache) <= 10
+
+
+def test_chunks_rejoin():
+    for t in texts():
+        assert " ".join(chunks(t)) == t
+
+
+def test_counting_query(spark, byte_bpe):
+    docs = C.clashing(C.frame(spark, C.ODD))
+    got = sorted(map(str, map(tuple, token_count.count_tokens(docs, BYTE_BPE).collect())))
+    want = [(d, len((t or "").encode()), n := len(ids_of(byte_bpe, t or "")), n > 512)
+            for d, t, _ in C.ODD]
+    assert got == sorted(map(str, want))
+    assert token_count.count_tokens(C.frame(spark, []), BYTE_BPE).count() == 0
+
+
+def test_codec_query(spark, word_bpe):
+    docs = C.clashing(C.frame(spark, C.ODD))
+    got = {r["doc_id"]: r for r in bpe_codec.encode_and_decode(docs, WORD_BPE).collect()}
+    for d, t, _ in C.ODD:
+        assert got[d]["n_tokens"] == len(ids_of(word_bpe, t or ""))
+    both = bpe_codec.encoded(docs, WORD_BPE).where("doc_id = 11").first()
+    assert both["ids"] == ids_of(word_bpe, C.ODD[-1][1])
+    assert both["decoded"] == word_bpe.decode(both["ids"], skip_special_tokens=False)
+    assert bpe_codec.encode_and_decode(C.frame(spark, []), WORD_BPE).count() == 0
+
+
+@pytest.mark.parametrize("length", [7, 1024])
+def test_token_files(spark, byte_bpe, length):
+    rows = [r for r in C.ODD if r[0] is not None]
+    docs = C.clashing(C.frame(spark, rows)).repartition(5)
+    folder = fresh_dir(spark, "tokens")
+    token_files.write_token_files(docs, folder, BYTE_BPE, length=length)
+    got = token_files.read_token_files(spark, folder).orderBy("start").collect()
+    start = 0
+    for (d, t, _), r in zip(sorted(rows, key=lambda r: (r[0], r[1] or "")), got, strict=True):
+        ids = ids_of(byte_bpe, t or "") + [2]
+        assert (r["doc_id"], r["start"], r["n_tokens"]) == (d, start, len(ids))
+        assert r["ids_crc32"] == zlib.crc32(np.array(ids, "<u4").tobytes())
+        start += len(ids)
+
+
+def test_sequences_are_views_with_masks(spark):
+    docs = C.frame(spark, [(i, "one two three four five " * 40, "s") for i in range(30)])
+    folder = fresh_dir(spark, "tokens")
+    token_files.write_token_files(docs, folder, BYTE_BPE, length=16)
+    files = {r["file"] for r in spark.read.parquet(f"{folder}/boundaries").collect()}
+    real = 0
+    for name in files:
+        file = token_files.TokenFile(name)
+        n = sum(file.reader.get_batch(i).num_rows for i in range(file.reader.num_record_batches))
+        for row in range(n):
+            ids, mask = file.sequence(row)
+            assert len(ids) == len(mask) == 16 and not ids.flags.owndata
+            assert row == n - 1 or mask.true_count == 16
+            real += mask.true_count
+    assert real == sum(r["n_tokens"] for r in token_files.read_token_files(spark, folder).collect())
+
+
+def test_token_files_of_nothing(spark):
+    assert token_files.token_files(C.frame(spark, []), BYTE_BPE).count() == 0

@@ -131,7 +131,8 @@ def align(text: np.ndarray, template: np.ndarray, diagonal: int, low: int, high:
           band: int = BAND) -> tuple[int, list[tuple[int, int]]]:
     """Best local alignment of ``template`` with ``text[low:high]`` on diagonals (text place
     less template place) within ``band`` of ``diagonal``: matched words, and the spans of text
-    words that are matched one after the other. A match scores 2, any difference -1."""
+    words that are matched one after the other. A match scores 2, any difference -1; of equal
+    alignments the one that ends nearest to ``diagonal`` counts."""
     width = 2 * band + 1
     rows = len(template)
     score = np.zeros((rows + 1, width + 2), np.int32)
@@ -148,7 +149,8 @@ def align(text: np.ndarray, template: np.ndarray, diagonal: int, low: int, high:
             value, move = max(moves, key=lambda m: m[0])
             if value > 0:
                 score[i, k], step[i, k] = value, move
-                if value > best:
+                if value > best or (value == best and best_at and abs(k - 1 - band)
+                                    < abs(best_at[1] - 1 - band)):
                     best, best_at = value, (i, k)
     matched, places = 0, []
     if best_at:

@@ -146,7 +146,7 @@ def url_features(host: str, path: str) -> np.ndarray:
     return np.unique(np.concatenate([np.zeros(0, np.int64), *_hashed(host, 1), *_hashed(path, 2)]))
 
 
-def fit(examples=EXAMPLES, penalty: float = 0.02, steps: int = 400) -> np.ndarray:
+def fit(examples=EXAMPLES, penalty: float = 2e-4, steps: int = 400) -> np.ndarray:
     """Weights and bias, by accelerated gradient steps on the penalised mean log loss."""
     if len(examples) > MAX_EXAMPLES:
         raise ValueError(f"more than {MAX_EXAMPLES} examples")
@@ -160,7 +160,7 @@ def fit(examples=EXAMPLES, penalty: float = 0.02, steps: int = 400) -> np.ndarra
     t = 1.0
     for _ in range(steps):
         p = 1 / (1 + np.exp(-(x @ ahead)))
-        grad = x.T @ (p - y) / max(len(y), 1) + penalty / 10 * ahead
+        grad = x.T @ (p - y) / max(len(y), 1) + penalty * ahead
         new, t_new = ahead - 1.9 * grad, (1 + np.sqrt(1 + 4 * t * t)) / 2
         ahead, w, t = new + (t - 1) / t_new * (new - w), new, t_new
     return w
