@@ -37,6 +37,8 @@ from tidemark.llm.text_chunks import (
 from tidemark.session import fresh_dir
 
 SEQUENCE = 1024
+#: Chunks, and pieces, that a worker remembers: about 150 MB each.
+CACHED = 800_000
 #: Sequences per record batch.
 BATCH = 256
 
@@ -74,9 +76,9 @@ class Encoder:
                           and "use_regex=True" in pre and self.tokenizer.normalizer is None
                           and not any(" " in s or s.isalpha() for s in special))
         self.tokenize = self.tokenizer.model.tokenize
-        self.pieces = RecentCache(self._encode_piece)
+        self.pieces = RecentCache(self._encode_piece, CACHED)
         self.first = RecentCache(self._encode_first)
-        self.later = RecentCache(self._encode_later)
+        self.later = RecentCache(self._encode_later, CACHED)
 
     def _encode(self, text: str) -> bytes:
         return self.pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
@@ -233,10 +235,16 @@ class TokenFile:
         local = isinstance(fs, pafs.LocalFileSystem)
         self.reader = pa.ipc.open_file(pa.memory_map(path) if local else fs.open_input_file(path))
         self.length = int(self.reader.schema.metadata[b"sequence_length"])
+        self._batch: tuple[int, pa.RecordBatch | None] = (-1, None)
+
+    def _get(self, number: int) -> pa.RecordBatch:
+        if self._batch[0] != number:
+            self._batch = number, self.reader.get_batch(number)
+        return self._batch[1]
 
     def sequence(self, row: int) -> tuple[np.ndarray, pa.Array]:
         """Ids and mask of one sequence."""
-        batch = self.reader.get_batch(row // BATCH)
+        batch = self._get(row // BATCH)
         at = row % BATCH
         return (self._flat(batch)[at * self.length:(at + 1) * self.length],
                 batch.column(1)[at].values)
@@ -249,7 +257,7 @@ class TokenFile:
         """``count`` ids from position ``start`` of the shard."""
         full, parts = self.length * BATCH, []
         while count > 0:
-            flat = self._flat(self.reader.get_batch(start // full))
+            flat = self._flat(self._get(start // full))
             at = start % full
             parts.append(flat[at:at + count])
             start, count = start + len(parts[-1]), count - len(parts[-1])
