@@ -208,3 +208,34 @@ def test_upsert_and_update_type(spark):
              for r in U.bar_update_type(old, new).collect()}
     assert kinds == {("m", 2): "UPDATE_LAST", ("m", 3): "APPEND", ("m", 0): "FILL_OR_PREPEND",
                      ("n", 1): "APPEND"}
+
+
+def test_averages_keep_small_prices(spark):
+    """Closes below a millionth are averaged as they are."""
+    bars = spark.createDataFrame(
+        [("m", i, 4e-7 * (1 + i % 2)) for i in range(6)], "market_id string, timestamp long, close double")
+    got = [r["sma_2"] for r in G.sma(bars, 2).orderBy("timestamp").collect()]
+    assert got[0] is None and all(abs(x - 6e-7) < 1e-12 for x in got[1:])
+
+
+def test_a_rule_that_enters_twice_is_refused(spark):
+    rows = [("m", i, 10.0, 10.0, c) for i, c in enumerate([0, 1, 0, 1, 0, -1, 0])]
+    signals = spark.createDataFrame(
+        rows, "market_id string, timestamp long, open double, close double, cross int")
+    with pytest.raises(Exception, match="enters while a trade is open"):
+        G.episodes(signals).collect()
+
+
+def test_idle_sets_and_runs_have_rows(spark):
+    bars = spark.createDataFrame(
+        [("m", i, 10.0 + i % 3, 10.0 + i % 3) for i in range(9)],
+        "market_id string, timestamp long, open double, close double")
+    grid = G.param_grid(bars, [{"fast": 3, "slow": 99, "stop_loss": 0.1}]).collect()
+    assert [(r["trades"], r["won"], r["final_cash"]) for r in grid] == [(0, 0, 10_000.0)]
+    runs = spark.createDataFrame([("x",), ("y",)], "market_id string")
+    none = G.equity(G.episodes(G.crossover(bars, 3, 99)))
+    report = R.trade_analysis(none, runs=runs).collect()
+    assert [(r["total"], r["won_longest"], r["pnl_net_total"], r["pnl_net_average"])
+            for r in report] == [(0, 0, 0.0, None)] * 2
+    assert {r["trades"] for r in R.sqn(none, runs=runs).collect()} == {0}
+    assert {r["lost_longest"] for r in R.streaks(none, runs=runs).collect()} == {0}

@@ -10,6 +10,7 @@ from tidemark.operators import fills as FL
 from tidemark.operators import labelling as L
 from tidemark.operators import markets as M
 from tidemark.operators import pricing as P
+from tidemark.operators import upsert as U
 from tidemark.sources import landed, readers, writers
 
 
@@ -202,3 +203,36 @@ def test_stored_trades_prune_by_date(spark, known, tmp_path):
     day = readers.read_trades(spark, str(tmp_path / "t"), dates=("1970-01-03", "1970-01-03"))
     plan = day._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(date" in plan and day.count() == 1
+
+
+def test_short_ranges_have_one_segment_formula(spark):
+    """Both forms of the split agree, also where there are fewer seconds than parts."""
+    for start, end, n in ((0, 3, 5), (0, 5, 5), (0, 17, 5), (10, 11, 3)):
+        bounds = FL.segment_bounds(start, end, n)
+        rows = spark.range(start - 1, end + 3).withColumnRenamed("id", "timestamp")
+        for r in rows.withColumn("s", FL.segment_of(start, end, n)).collect():
+            own = [i for i, (a, b) in enumerate(bounds) if a < r["timestamp"] <= b]
+            assert own == ([] if r["s"] is None else [r["s"]]), (start, end, n, r)
+
+
+def test_upsert_takes_whole_rows(spark):
+    schema = "market_id string, timestamp long, open double, close double"
+    old = spark.createDataFrame([("a", 1, 1.0, 1.0)], schema)
+    new = spark.createDataFrame([("a", 1, 5.0, 2.0), ("a", 1, 4.0, 9.0), ("b", 2, None, 3.0)], schema)
+    got = {tuple(r) for r in U.upsert_bars(old, new).collect()}
+    assert got == {("a", 1, 5.0, 2.0), ("b", 2, None, 3.0)}
+
+
+def test_bad_fields_are_loud(spark, tmp_path):
+    path = str(tmp_path / "fills.csv")
+    names = schemas.FILLS.fieldNames()
+    with open(path, "w") as f:
+        f.write(",".join(names) + "\na,1,m,0,5,t,7,10,h\nb,1,m,0,12x,t,7,10,h\n")
+    assert readers.read_fills(spark, path).count() == 2
+    counts = {r["check"]: r["rows"] for r in
+              readers.rejected_fields(spark, path, schemas.FILLS).collect()}
+    assert counts == {"rows": 2, "rows_with_bad_fields": 1}
+    with pytest.raises(Exception):
+        readers.read_fills(spark, path, on_bad="fail").collect()
+    with pytest.raises(ValueError):
+        readers.read_fills(spark, path, on_bad="skip")

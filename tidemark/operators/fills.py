@@ -74,9 +74,12 @@ def in_segment(bounds: tuple[int, int], ts: str = "timestamp") -> Column:
 
 
 def segment_of(start: int, end: int, n: int, ts: str = "timestamp") -> Column:
-    """Segment number of a row, by arithmetic: no join against the ranges."""
-    step = max((end - start) // n, 1)
-    raw = F.expr(f"({ts} - {start} - 1) div {step}")
+    """Segment number of a row in the split of ``segment_bounds``, by arithmetic: no join.
+
+    A range of fewer than n seconds has steps of 0, so all of it is the last segment.
+    """
+    step = (end - start) // n
+    raw = F.expr(f"({ts} - {start} - 1) div {step}") if step else F.lit(n - 1)
     inside = (F.col(ts) > start) & (F.col(ts) <= end)
     return F.when(inside, F.least(raw, F.lit(n - 1)).cast("int"))
 

@@ -16,10 +16,16 @@ def with_nonusdc_asset(fills: DataFrame) -> DataFrame:
     return fills.withColumn("nonusdc_asset_id", ff.nonusdc_asset())
 
 
+def one_market_per_token(markets: DataFrame) -> DataFrame:
+    owner = F.min(F.struct("market_id", "side")).alias("owner")
+    return markets_long(markets).groupBy("asset_id").agg(owner).select("asset_id", "owner.*")
+
+
 def label_trades(fills: DataFrame, markets: DataFrame) -> DataFrame:
     """One labelled trade per fill.
 
-    One left join on the outcome token. Spark broadcasts the token map while its estimate is
+    A token that several markets list belongs to the one with the smallest id, so that a fill
+    never becomes two trades. One left join on the outcome token. Spark broadcasts the token map while its estimate is
     below ``spark.sql.autoBroadcastJoinThreshold``; beyond that it shuffles, and adaptive
     execution splits the partitions of heavily traded tokens.
 
@@ -27,7 +33,7 @@ def label_trades(fills: DataFrame, markets: DataFrame) -> DataFrame:
     when the taker paid cash, null otherwise; in the second case token_amount holds the
     maker's cash amount. ``is_matched`` marks such rows for a later repair.
     """
-    tokens = markets_long(markets)
+    tokens = one_market_per_token(markets)
     taker_pays = ff.taker_pays_cash()
     maker_amount, taker_amount = F.col("makerAmountFilled"), F.col("takerAmountFilled")
     matched = F.col("market_id").isNotNull()
@@ -77,7 +83,7 @@ def incremental_trades(fills: DataFrame, trades: DataFrame, markets: DataFrame,
 def quality_report(fills: DataFrame, markets: DataFrame) -> DataFrame:
     """Counts of what deserves a second look, as (check, rows).
 
-    A token that several markets list would label its fills once per market.
+    A token that several markets list labels its fills with the smallest of them.
     """
     trades = label_trades(fills, markets)
     maker_cash = F.col("makerAssetId") == ff.USDC_ASSET

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 KEYS = ("market_id",)
+_STREAKS = ("won_current", "won_longest", "lost_current", "lost_longest")
 
 
 def time_return(curve: DataFrame, period: str = "day", cash: float = 10_000.0,
@@ -81,13 +82,14 @@ def calmar(curve: DataFrame, cash: float = 10_000.0, keys: Sequence[str] = KEYS)
     return months.select(*keys, "month", F.try_divide(growth / years, worst).alias("calmar"))
 
 
-def sqn(trades: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
-    """System quality number over closed trades."""
+def sqn(trades: DataFrame, keys: Sequence[str] = KEYS, runs: DataFrame | None = None) -> DataFrame:
+    """System quality number over closed trades; ``runs`` as for :func:`streaks`."""
     closed = trades.filter(F.col("pnl").isNotNull())
     n = F.count(F.lit(1))
-    return closed.groupBy(*keys).agg(
+    found = closed.groupBy(*keys).agg(
         (F.sqrt(n) * F.try_divide(F.avg("pnl"), F.stddev_samp("pnl"))).alias("sqn"),
         n.alias("trades"))
+    return for_all(runs, found, keys, ["trades"])
 
 
 def vwr(returns: DataFrame, tann: float = 252.0, sdev_max: float = 0.20, tau: float = 2.0,
@@ -142,8 +144,20 @@ def transactions(trades: DataFrame, instrument: str = "market_id",
     )
 
 
-def streaks(trades: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
-    """Current and longest run of won and of lost closed trades; a profit of zero counts as won."""
+def for_all(runs: DataFrame | None, report: DataFrame, keys: Sequence[str],
+            zeros: Sequence[str]) -> DataFrame:
+    """The report with a row for each of ``runs``; one without a row gets zeros and nulls."""
+    if runs is None:
+        return report
+    return runs.select(*keys).distinct().join(report, list(keys), "left").fillna(0, list(zeros))
+
+
+def streaks(trades: DataFrame, keys: Sequence[str] = KEYS, runs: DataFrame | None = None
+            ) -> DataFrame:
+    """Current and longest run of won and of lost closed trades; a profit of zero counts as won.
+
+    ``runs`` lists the keys that get a row even without a closed trade.
+    """
     w = Window.partitionBy(*keys).orderBy("episode_id")
     closed = trades.filter(F.col("pnl").isNotNull()).withColumn("won", F.col("pnl") >= 0)
     turned = F.coalesce(F.lag("won").over(w) != F.col("won"), F.lit(True)).cast("int")
@@ -158,17 +172,20 @@ def streaks(trades: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
         return F.coalesce(F.max(F.when(kind, F.col("n"))), F.lit(0))
     def current(kind):
         return F.when(kind, F.col("last.n")).otherwise(F.lit(0))
-    return islands.groupBy(*keys).agg(
+    found = islands.groupBy(*keys).agg(
         last, longest(F.col("won")).alias("won_longest"), longest(~F.col("won")).alias("lost_longest")
     ).select(
         *keys, current(F.col("last.won")).alias("won_current"), "won_longest",
         current(~F.col("last.won")).alias("lost_current"), "lost_longest")
+    return for_all(runs, found, keys, _STREAKS)
 
 
-def trade_analysis(trades: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+def trade_analysis(trades: DataFrame, keys: Sequence[str] = KEYS, runs: DataFrame | None = None
+                   ) -> DataFrame:
     """Counts, streaks, profit and length of trades by direction and outcome.
 
-    The rule only buys, so everything about short trades is zero or null.
+    The rule only buys, so everything about short trades is zero or null. ``runs`` lists the
+    keys that get a row even without a trade.
     """
     is_closed = F.col("exit_ts").isNotNull()
     won, lost = F.col("pnl") >= 0, F.col("pnl") < 0
@@ -216,8 +233,10 @@ def trade_analysis(trades: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
         *length("len_short_won", none),
         *length("len_short_lost", none),
     )
-    names = ["won_current", "won_longest", "lost_current", "lost_longest"]
-    return stats.join(streaks(trades, keys), list(keys), "left").fillna(0, names)
+    report = stats.join(streaks(trades, keys), list(keys), "left").fillna(0, list(_STREAKS))
+    spread = ("_average", "_min", "_max")
+    return for_all(runs, report, keys,
+                   [c for c in report.columns if c not in keys and not c.endswith(spread)])
 
 
 def period_stats(returns: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:

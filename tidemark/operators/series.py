@@ -42,14 +42,18 @@ def align_ffill(clock: DataFrame, series: DataFrame) -> DataFrame:
     """The newest value at or before each clock time, null before a series starts.
 
     The value travels inside a struct, so that NaN is carried on while a missing row is not.
+    All values of one time are gathered first and spread over the run's series after meeting the
+    clock, so that rows move by time once and by series and chunk once.
     """
-    boxed = F.struct("value")
-    rows = series.select("run_id", "series", "timestamp", F.lit(0).alias("is_clock"),
-                         boxed.alias("v"))
-    slots = _grid(clock, series).select("run_id", "series", "timestamp",
-                                        F.lit(1).alias("is_clock"),
-                                        F.lit(None).cast(rows.schema["v"].dataType).alias("v"))
-    filled = running_last(rows.unionByName(slots), ["run_id", "series"], "v", ["is_clock"])
+    at = ["run_id", "timestamp"]
+    cells = series.filter(F.col("series").isNotNull()).groupBy(*at).agg(F.map_from_entries(
+        F.collect_list(F.struct("series", F.struct("value")))).alias("cells"))
+    names = series.groupBy("run_id").agg(F.collect_set("series").alias("names"))
+    slots = clock.select(*at, F.lit(1).alias("is_clock")).join(cells, at, "full")
+    rows = slots.join(names, "run_id").select(
+        *at, "is_clock", "cells", F.explode("names").alias("series")).select(
+        *at, "is_clock", "series", F.col("cells")[F.col("series")].alias("v"))
+    filled = running_last(rows, ["run_id", "series"], "v", ["is_clock"])
     return filled.filter("is_clock = 1").select(
         "run_id", "series", "timestamp", F.col("v.value").alias("value"))
 

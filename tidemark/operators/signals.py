@@ -12,9 +12,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.amounts import MICRO, to_units
 
 KEYS = ("market_id",)
+_FINE = 1e12  # units of a close in running sums
 
 
 def _by_time(keys: Sequence[str]):
@@ -22,25 +22,28 @@ def _by_time(keys: Sequence[str]):
 
 
 def _moving_sums(bars: DataFrame, periods: Sequence[int], keys: Sequence[str]) -> DataFrame:
-    """Sums of the last n closes in micro-units, null until n bars exist.
+    """Sums of the last n closes in units of 10**-12, null until n bars exist.
 
-    Differences of one running sum: exact, since the units are whole, and linear in the number
-    of bars for any n.
+    Differences of one running sum: exact, since the units are whole and summed as decimals, and
+    linear in the number of bars for any n. The units are finer than what a price that is a
+    ratio of two amounts can lose by them.
     """
     w = _by_time(keys)
+    units = F.rint(F.col("close") * F.lit(_FINE)).cast("decimal(20,0)")
     running = bars.withColumns({
         "_n": F.row_number().over(w),
-        "_run": F.sum(to_units(F.col("close"))).over(w.rowsBetween(Window.unboundedPreceding, 0)),
+        "_run": F.sum(units).over(w.rowsBetween(Window.unboundedPreceding, 0)),
     })
     sums = {
-        f"_sum{p}": F.when(F.col("_n") >= p, F.col("_run") - F.lag("_run", p, 0).over(w))
+        f"_sum{p}": F.when(F.col("_n") >= p, F.col("_run") - F.coalesce(
+            F.lag("_run", p).over(w), F.lit(0).cast("decimal(20,0)"))).cast("decimal(28,0)")
         for p in sorted(set(periods))
     }
     return running.withColumns(sums).drop("_n", "_run")
 
 
 def _average(units: Column, n: int | Column) -> Column:
-    return units / (F.lit(n) * F.lit(float(MICRO)))
+    return units.cast("double") / (F.lit(n) * F.lit(_FINE))
 
 
 def sma(bars: DataFrame, *periods: int, keys: Sequence[str] = KEYS) -> DataFrame:
@@ -99,7 +102,8 @@ def episodes(signals: DataFrame, enter: Column | None = None, leave: Column | No
     such a bar, or without a bar after it, it stays open. The size is ``risk`` of the cash at
     the signal's close, so a jump of the next open beyond the cash leaves the order unfilled.
 
-    ``enter`` and ``leave`` must alternate, as crossings do.
+    A rule that enters again while a trade is still open, which crossings never do, stops the
+    query with an error instead of giving overlapping trades.
     """
     enter = F.col("cross") == 1 if enter is None else enter
     leave = F.col("cross") == -1 if leave is None else leave
@@ -135,8 +139,11 @@ def episodes(signals: DataFrame, enter: Column | None = None, leave: Column | No
     return (
         tracked.groupBy(*keys, "episode_id")
         .agg(F.max("e").alias("e"), F.min(F.when(ends, end)).alias("x"))
+        .withColumn("_last", F.max("episode_id").over(Window.partitionBy(*keys)))
         .filter(F.col("e.entry_ts").isNotNull())
         .filter(F.lit(risk) * F.col("e.entry_price") * (1 + commission) <= F.col("e.signal_close"))
+        .filter(F.when(F.col("x").isNull() & (F.col("episode_id") < F.col("_last")), F.raise_error(
+            F.lit("the rule enters while a trade is open")).cast("boolean")).otherwise(True))
         .select(
             *keys, "episode_id", "e.signal_ts", "e.signal_close", "e.entry_ts", "e.entry_price",
             (F.col("e.signal_bar") + 1).alias("entry_bar"),
@@ -198,17 +205,22 @@ def equity_curve(bars: DataFrame, trades: DataFrame, cash: float = 10_000.0,
 def param_grid(bars: DataFrame, params: Sequence[dict], cash: float = 10_000.0,
                columns: dict[str, Column] | None = None,
                keys: Sequence[str] = KEYS) -> DataFrame:
-    """One result row per market and parameter set that traded, with optional user columns.
+    """One result row per market and parameter set, with optional user columns.
 
-    ``params`` holds {fast, slow, stop_loss}.
+    ``params`` holds {fast, slow, stop_loss}. A set that never traded keeps its cash.
     """
     run = [*keys, "param_id", "fast", "slow", "stop_loss"]
     signals = crossings(bars, params, keys)
     trades = equity(episodes(signals, stop_loss=F.col("stop_loss"), keys=run), cash, run)
-    result = trades.groupBy(*run).agg(
+    found = trades.groupBy(*keys, "param_id").agg(
         F.count(F.lit(1)).alias("trades"),
         F.count_if(F.col("pnl") > 0).alias("won"),
         F.max_by("cash_after", "episode_id").alias("final_cash"))
+    sets = F.array(*[F.struct(F.lit(i).alias("param_id"), *[
+        F.lit(p[c]).alias(c) for c in ("fast", "slow", "stop_loss")]) for i, p in enumerate(params)])
+    runs = bars.select(*keys).distinct().select(*keys, F.inline(sets))
+    result = runs.join(found, [*keys, "param_id"], "left").fillna(
+        {"trades": 0, "won": 0, "final_cash": cash})
     return result.select("*", *[c.alias(name) for name, c in (columns or {}).items()])
 
 

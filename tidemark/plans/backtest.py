@@ -14,6 +14,10 @@ class Backtest(NamedTuple):
     trades: DataFrame
     curve: DataFrame
 
+    def runs(self, keys: Sequence[str] = KEYS) -> DataFrame:
+        """Every run of the rule, also those that never traded."""
+        return self.curve.select(*keys).distinct()
+
 
 def moving_average_backtest(bars: DataFrame, fast: int = 50, slow: int = 200,
                             stop_loss: float = 0.02, risk: float = 0.95, cash: float = 10_000.0,

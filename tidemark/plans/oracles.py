@@ -181,7 +181,7 @@ VIEWS: dict[str, str] = {
         WINDOW w AS (PARTITION BY market_id, ts - ts % 600 ORDER BY ts, id
                      ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)""",
     "fx_units": """
-        SELECT *, round(close * 1e6)::BIGINT AS cu,
+        SELECT *, round(close * 1e12)::HUGEINT AS cu,
           row_number() OVER (PARTITION BY market_id ORDER BY timestamp) AS n
         FROM fx_bars""",
     "fx_params": """
@@ -190,8 +190,8 @@ VIEWS: dict[str, str] = {
                               (50, 200, 0.02::DOUBLE)) p(fast, slow, stop_loss)""",
     "fx_ma": """
         SELECT u.*, fast, slow, stop_loss,
-          CASE fast WHEN 10 THEN s10 WHEN 20 THEN s20 ELSE s50 END::BIGINT AS fsum,
-          CASE slow WHEN 50 THEN s50 WHEN 100 THEN s100 ELSE s200 END::BIGINT AS ssum
+          CASE fast WHEN 10 THEN s10 WHEN 20 THEN s20 ELSE s50 END::HUGEINT AS fsum,
+          CASE slow WHEN 50 THEN s50 WHEN 100 THEN s100 ELSE s200 END::HUGEINT AS ssum
         FROM (SELECT *,
                 sum(cu) OVER (w ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS s10,
                 sum(cu) OVER (w ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS s20,
@@ -242,6 +242,15 @@ VIEWS: dict[str, str] = {
               FROM (SELECT *, 10000::DOUBLE * product(coalesce(factor, 1)) OVER (
                       PARTITION BY market_id, fast, slow ORDER BY episode_id) AS cash_after
                     FROM fx_episodes_all) a) b""",
+    "fx_runs": "SELECT DISTINCT market_id FROM fx_bars",
+    "fx_grid": f"""
+        SELECT market_id, CASE fast WHEN 10 THEN 0 WHEN 20 THEN 1 ELSE 2 END::BIGINT AS param_id,
+          fast, slow, stop_loss, coalesce(trades, 0) AS trades, coalesce(won, 0) AS won,
+          coalesce(final_cash, 10000) AS final_cash
+        FROM (SELECT * FROM fx_runs, fx_params) r LEFT JOIN (
+          SELECT market_id, fast, slow, count(*) AS trades, count(*) FILTER (pnl > 0) AS won,
+            arg_max(cash_after, episode_id) AS final_cash
+          FROM fx_equity_all GROUP BY market_id, fast, slow) e USING (market_id, fast, slow)""",
     "fx_episodes": "SELECT * FROM fx_episodes_all WHERE fast = 50",
     "fx_equity": "SELECT * FROM fx_equity_all WHERE fast = 50",
     "fx_curve": """
@@ -328,7 +337,7 @@ def _trade_analysis() -> str:
     closed, won, lost, none = "exit_ts IS NOT NULL", "pnl >= 0", "pnl < 0", "false"
     gross = "size * (exit_price - entry_price)"
     columns = ", ".join([
-        "count(*) AS total", f"count(*) FILTER (NOT ({closed})) AS open",
+        "count(episode_id) AS total", f"count(episode_id) FILTER (NOT ({closed})) AS open",
         f"count(*) FILTER ({closed}) AS closed",
         f"count(*) FILTER ({won}) AS won", f"count(*) FILTER ({lost}) AS lost",
         f"count(*) FILTER ({closed}) AS long_total", f"count(*) FILTER ({won}) AS long_won",
@@ -342,9 +351,11 @@ def _trade_analysis() -> str:
         _length("len_long_won", won), _length("len_long_lost", lost), _length("len_short", none),
         _length("len_short_won", none), _length("len_short_lost", none)])
     return f"""
-        SELECT a.*, s.* EXCLUDE (market_id)
-        FROM (SELECT market_id, {columns} FROM fx_equity GROUP BY market_id) a
-        JOIN fx_streaks s USING (market_id)"""
+        SELECT a.*, coalesce(won_current, 0) AS won_current, coalesce(won_longest, 0) AS won_longest,
+          coalesce(lost_current, 0) AS lost_current, coalesce(lost_longest, 0) AS lost_longest
+        FROM (SELECT market_id, {columns} FROM fx_runs LEFT JOIN fx_equity USING (market_id)
+              GROUP BY market_id) a
+        LEFT JOIN fx_streaks s USING (market_id)"""
 
 
 def _parsed(mode: str) -> str:
@@ -539,8 +550,8 @@ RESULTS: dict[str, str] = {
         FROM fx_bars""",
     "sma": f"""
         SELECT market_id, timestamp,
-          CASE WHEN n >= 50 THEN {even("s50 / (50 * 1e6)", 9)} END AS sma_50,
-          CASE WHEN n >= 200 THEN {even("s200 / (200 * 1e6)", 9)} END AS sma_200
+          CASE WHEN n >= 50 THEN {even("s50 / (50 * 1e12)", 9)} END AS sma_50,
+          CASE WHEN n >= 200 THEN {even("s200 / (200 * 1e12)", 9)} END AS sma_200
         FROM (SELECT market_id, timestamp, n,
                 sum(cu) OVER (w ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS s50,
                 sum(cu) OVER (w ROWS BETWEEN 199 PRECEDING AND CURRENT ROW) AS s200
@@ -556,17 +567,11 @@ RESULTS: dict[str, str] = {
         SELECT market_id, timestamp, {even("equity", 1)} AS equity,
           {even("position_value", 1)} AS position_value FROM fx_curve""",
     "param_grid": f"""
-        SELECT market_id, CASE fast WHEN 10 THEN 0 WHEN 20 THEN 1 ELSE 2 END::BIGINT AS param_id, fast,
-          slow, CASE fast WHEN 20 THEN 0.05::DOUBLE ELSE 0.02::DOUBLE END AS stop_loss,
-          count(*) AS trades, count(*) FILTER (pnl > 0) AS won,
-          {even("ln(arg_max(cash_after, episode_id) / 10000)", 9)} AS log_growth,
-          {even("count(*) FILTER (pnl > 0) / count(*)::DOUBLE", 6)} AS win_share
-        FROM fx_equity_all GROUP BY market_id, fast, slow""",
+        SELECT * EXCLUDE (final_cash), {even("ln(final_cash / 10000)", 9)} AS log_growth,
+          {even("won / nullif(trades, 0)::DOUBLE", 6)} AS win_share FROM fx_grid""",
     "param_grid_top": f"""
-        SELECT market_id, fast, slow, count(*) AS trades,
-          {even("ln(arg_max(cash_after, episode_id) / 10000)", 9)} AS log_growth
-        FROM fx_equity_all GROUP BY market_id, fast, slow
-        ORDER BY arg_max(cash_after, episode_id) DESC LIMIT 5""",
+        SELECT market_id, fast, slow, trades, {even("ln(final_cash / 10000)", 9)} AS log_growth
+        FROM fx_grid ORDER BY final_cash DESC, market_id, param_id LIMIT 5""",
     "master_clock": "SELECT * FROM fx_clock",
     "axis_index": """
         SELECT run_id, timestamp,
@@ -618,7 +623,11 @@ RESULTS: dict[str, str] = {
           {even("(peak - close) / peak * 100", 6)} AS drawdown
         FROM (SELECT *, max(close) OVER (PARTITION BY market_id ORDER BY n) AS peak
               FROM fx_units) p""",
-    "streaks": "SELECT * FROM fx_streaks",
+    "streaks": """
+        SELECT market_id, coalesce(won_current, 0) AS won_current,
+          coalesce(won_longest, 0) AS won_longest, coalesce(lost_current, 0) AS lost_current,
+          coalesce(lost_longest, 0) AS lost_longest
+        FROM fx_runs LEFT JOIN fx_streaks USING (market_id)""",
     "sharpe": f"""
         SELECT market_id, {even("avg(period_return) / nullif(stddev_samp(period_return), 0)", 6)}
           AS sharpe_ratio FROM fx_daily GROUP BY market_id""",
@@ -632,9 +641,9 @@ RESULTS: dict[str, str] = {
                     FROM fx_dips GROUP BY ALL) m
               WINDOW w AS (PARTITION BY market_id ORDER BY month)) c""",
     "sqn": f"""
-        SELECT market_id, {even("sqrt(count(*)) * avg(pnl) / nullif(stddev_samp(pnl), 0)", 6)}
-          AS sqn, count(*) AS trades
-        FROM fx_equity WHERE pnl IS NOT NULL GROUP BY market_id""",
+        SELECT market_id, {even("sqrt(count(pnl)) * avg(pnl) / nullif(stddev_samp(pnl), 0)", 6)}
+          AS sqn, count(pnl) AS trades
+        FROM fx_runs LEFT JOIN fx_equity USING (market_id) GROUP BY market_id""",
     "vwr": f"""
         SELECT market_id, {even("max(rate)", 6)} AS rate,
           {even("stddev_samp(off)", 6)} AS variability,
@@ -707,8 +716,33 @@ RESULTS: dict[str, str] = {
                   AS tokens,
                 CASE WHEN makerAssetId = '0' THEN takerAssetId ELSE makerAssetId END AS asset
               FROM fx_landed) l LEFT JOIN fx_tokens k ON k.asset_id = l.asset""",
+    "stream_fresh_markets": "SELECT * FROM fx_out WHERE timestamp >= 900000000",
+    "repair_stored": "SELECT * FROM fx_out",
     "stream_dedup": f"SELECT {_FILL} FROM fx_fills",
+    "stream_dedup_stored": f"SELECT DISTINCT {_FILL} FROM fx_landed",
     "stream_ohlcv": "SELECT * FROM fx_bars",
+    "stream_ohlcv_redelivered": "SELECT * FROM fx_bars",
+    "fills_from_csv": f"SELECT {_FILL} FROM fx_landed",
+    "fills_by_date": f"""
+        SELECT {_FILL} FROM fx_fills
+        WHERE year(make_timestamp(ts * 1000000)) BETWEEN 1994 AND 1996""",
+    "markets_from_files": f"SELECT {_MARKET} FROM fx_markets",
+    "leaderboard_from_file": """
+        SELECT concat(CASE WHEN s_suppkey % 10 = 0 THEN '0xz' ELSE '0xm' END,
+          lpad(s_suppkey::VARCHAR, 8, '0')) AS user_id, s_name AS user_name
+        FROM supplier WHERE s_suppkey % 3 = 0""",
+    "rejected_rows": """
+        SELECT 'broken_market_pages' AS "check", count(*) FILTER (p_partkey % 7 = 0) AS rows FROM part
+        UNION ALL SELECT 'rejected_markets',
+          count(*) FILTER (p_partkey % 7 <> 0 AND p_partkey % 5 = 0) FROM part
+        UNION ALL SELECT 'broken_event_pages', count(*) FILTER (p_partkey % 3 = 0) FROM part
+        UNION ALL SELECT 'rows', count(*) FROM fx_landed
+        UNION ALL SELECT 'rows_with_bad_fields', count(*) FILTER (ts % 9 = 0) FROM fx_landed""",
+    "shared_token": "SELECT * FROM fx_out",
+    "param_grid_idle": f"""
+        SELECT * EXCLUDE (final_cash), {even("ln(final_cash / 10000)", 9)} AS log_growth FROM fx_grid
+        UNION ALL
+        SELECT market_id, 3, 400, 1000000, 0.02::DOUBLE, 0, 0, 0.0::DOUBLE FROM fx_runs""",
     "stream_last_price": "SELECT * FROM fx_last",
 }
 

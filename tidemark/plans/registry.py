@@ -21,10 +21,13 @@ from tidemark.operators import (
     reports as R, series as S, signals as G, traders as X, upsert as U)
 from tidemark.plans import ranking, testviews as V
 from tidemark.plans.backtest import Backtest, moving_average_backtest
+from tidemark.schemas import FILLS
 from tidemark.session import configure, fresh_dir, stage
-from tidemark.sources.landed import parse_events, parse_markets
-from tidemark.sources.readers import read_trades
-from tidemark.sources.writers import write_trades
+from tidemark.sources.landed import (
+    parse_events, parse_markets, read_pages, rejected_events, rejected_markets)
+from tidemark.sources.readers import (
+    get_markets, read_fills, read_leaderboard, read_trades, rejected_fields)
+from tidemark.sources.writers import rewrite_repaired, write_fills, write_trades
 from tidemark.streaming import jobs as J
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -479,7 +482,7 @@ def log_growth() -> Column:
 @query
 def param_grid(spark, d):
     grid = G.param_grid(bars(spark, d), GRID, columns={
-        "log_growth": log_growth(), "win_share": F.col("won") / F.col("trades")})
+        "log_growth": log_growth(), "win_share": F.try_divide("won", "trades")})
     return rounded(grid, log_growth=9, win_share=6).drop("final_cash")
 
 
@@ -567,7 +570,8 @@ def drawdown_of_close(spark, d):
 
 @query
 def streaks(spark, d):
-    return R.streaks(backtest(spark, d).trades)
+    made = backtest(spark, d)
+    return R.streaks(made.trades, runs=made.runs())
 
 
 @query
@@ -582,7 +586,8 @@ def calmar(spark, d):
 
 @query
 def sqn(spark, d):
-    return rounded(R.sqn(backtest(spark, d).trades), sqn=6)
+    made = backtest(spark, d)
+    return rounded(R.sqn(made.trades, runs=made.runs()), sqn=6)
 
 
 @query
@@ -605,7 +610,8 @@ def transactions(spark, d):
 
 @query
 def trade_analysis(spark, d):
-    report = R.trade_analysis(backtest(spark, d).trades)
+    made = backtest(spark, d)
+    report = R.trade_analysis(made.trades, runs=made.runs())
     money = {f.name: 1 for f in report.schema.fields if isinstance(f.dataType, T.DoubleType)}
     return rounded(report, **money)
 
@@ -647,37 +653,99 @@ def bar_update_type(spark, d):
     return U.bar_update_type(old, new).select("market_id", "timestamp", "update_type")
 
 
-def land(df: DataFrame, label: str, files: int = 3) -> str:
+LANDED_ROWS = 20_000  # rows per landed file
+BATCH_BYTES = 16 << 20  # of landed files per micro-batch
+
+
+def land(df: DataFrame, label: str, path: str | None = None) -> str:
     """Write rows as landed files, newest first: the order a parallel backfill may give."""
-    path = fresh_dir(df.sparkSession, label)
-    df.repartitionByRange(files, F.col("timestamp").desc()).write.parquet(path)
+    path = path or fresh_dir(df.sparkSession, label)
+    (df.repartitionByRange(F.col("timestamp").desc())
+     .write.option("maxRecordsPerFile", LANDED_ROWS).mode("append").parquet(path))
     return path
 
 
+def landed_stream(spark, path: str, schema: T.StructType = FILLS) -> DataFrame:
+    return J.stream_fills(spark, path, schema=schema, bytes_per_batch=BATCH_BYTES)
+
+
 @query
 def stream_label_trades(spark, d):
     out, check = fresh_dir(spark, "trades"), fresh_dir(spark, "check")
     path = land(V.landed_fills(spark, d), "landed-fills")
-    J.stream_label_trades(J.stream_fills(spark, path), stage(markets(spark, d), "markets"),
-                          out, check, unit="year").awaitTermination()
-    return spark.read.parquet(out).drop("date")
+    known = stage(markets(spark, d), "markets")
+    J.stream_label_trades(landed_stream(spark, path), lambda: known, out, check,
+                          unit="year").awaitTermination()
+    return J.read_labelled(spark, out)
+
+
+@query
+def stream_fresh_markets(spark, d):
+    """Fills land, then markets, then more fills: the later fills know the later markets."""
+    out, check = fresh_dir(spark, "trades"), fresh_dir(spark, "check")
+    listed, path = fresh_dir(spark, "markets"), fresh_dir(spark, "landed-fills")
+    rows = fills(spark, d)
+
+    def run():
+        J.stream_label_trades(landed_stream(spark, path), lambda: get_markets(spark, listed), out,
+                              check, unit="year").awaitTermination()
+
+    V.main_markets(spark, d).write.parquet(listed)
+    land(rows.filter(F.col("timestamp") < SPLIT_TS), "", path)
+    run()
+    M.new_markets(V.late_markets(spark, d), V.main_markets(spark, d)).write.mode(
+        "append").parquet(listed)
+    land(rows.filter(F.col("timestamp") >= SPLIT_TS), "", path)
+    run()
+    return J.read_labelled(spark, out).filter(F.col("timestamp") >= F.timestamp_seconds(F.lit(SPLIT_TS)))
+
+
+@query
+def repair_stored(spark, d):
+    """Trades stored with the markets of the time, repaired in place by the dates concerned."""
+    path, rows = fresh_dir(spark, "trades"), stage(fills(spark, d), "fills")
+    write_trades(L.label_trades(rows, V.main_markets(spark, d)), path, unit="year")
+    rewrite_repaired(spark, path, rows, markets(spark, d))
+    return read_trades(spark, path)
 
 
 @query
 def stream_dedup(spark, d):
     out, check = fresh_dir(spark, "fills"), fresh_dir(spark, "check")
     path = land(V.landed_fills(spark, d), "landed-fills")
-    J.stream_dedup(J.stream_fills(spark, path, 1), out, check, unit="year").awaitTermination()
+    J.stream_dedup(landed_stream(spark, path), out, check, unit="year").awaitTermination()
     return J.read_dedup(spark, out)
 
 
+@query
+def stream_dedup_stored(spark, d):
+    """What the stream itself has stored after every fill landed twice: no row more than once."""
+    out, check = fresh_dir(spark, "fills"), fresh_dir(spark, "check")
+    path = land(V.landed_fills(spark, d), "landed-fills")
+    land(V.landed_fills(spark, d), "", path)
+    J.stream_dedup(landed_stream(spark, path), out, check, unit="year").awaitTermination()
+    return J.read_stored(spark, out).drop("batch_id", "date")
+
+
 @query
 def stream_ohlcv(spark, d):
     out, check = fresh_dir(spark, "ohlcv"), fresh_dir(spark, "check")
     ticks = V.ticks(spark, d)
     path = land(ticks, "landed-ticks")
-    stream = J.stream_fills(spark, path, 1, ticks.schema)
-    J.stream_ohlcv(stream, out, check).awaitTermination()
+    J.stream_ohlcv(landed_stream(spark, path, ticks.schema), out, check).awaitTermination()
+    return J.read_ohlcv(spark, out)
+
+
+@query
+def stream_ohlcv_redelivered(spark, d):
+    """Every tick lands twice, the second time after all others; bars count it once."""
+    out, check = fresh_dir(spark, "ohlcv"), fresh_dir(spark, "check")
+    ticks = V.ticks(spark, d)
+    path = land(ticks, "landed-ticks")
+    for _ in range(2):
+        J.stream_ohlcv(landed_stream(spark, path, ticks.schema), out, check).awaitTermination()
+        land(ticks, "", path)
+    J.stream_ohlcv(landed_stream(spark, path, ticks.schema), out, check).awaitTermination()
     return J.read_ohlcv(spark, out)
 
 
@@ -685,6 +753,80 @@ def stream_ohlcv(spark, d):
 def stream_last_price(spark, d):
     out, check = fresh_dir(spark, "last"), fresh_dir(spark, "check")
     path = land(fills(spark, d), "fills")
-    labelled = L.label_trades(J.stream_fills(spark, path), stage(markets(spark, d), "markets"))
+    labelled = L.label_trades(landed_stream(spark, path), stage(markets(spark, d), "markets"))
     J.stream_last_price(labelled, out, check).awaitTermination()
     return J.read_last_price(spark, out)
+
+
+# --- files written and read back ---------------------------------------------------------
+
+@query
+def fills_from_csv(spark, d):
+    path = fresh_dir(spark, "fills")
+    V.landed_fills(spark, d).write.option("header", True).csv(f"{path}.csv")
+    return read_fills(spark, f"{path}.csv", on_bad="fail")
+
+
+@query
+def fills_by_date(spark, d):
+    """Fills stored by date, read for one range of dates."""
+    path = fresh_dir(spark, "fills")
+    write_fills(fills(spark, d), path, unit="year")
+    return read_fills(spark, path, dates=("1994-01-01", "1996-01-01"))
+
+
+@query
+def markets_from_files(spark, d):
+    """Main markets as CSV with a late list as Parquet, and one list that does not exist."""
+    main, late = f"{fresh_dir(spark, 'markets')}.csv", fresh_dir(spark, "late")
+    V.main_markets(spark, d).write.options(header=True, escape='"').csv(main)
+    V.late_markets(spark, d).write.parquet(late)
+    known = get_markets(spark, main, late)
+    return M.combine_markets(known, get_markets(spark, None, fresh_dir(spark, "absent")))
+
+
+@query
+def leaderboard_from_file(spark, d):
+    path = fresh_dir(spark, "leaderboard")
+    V.leaderboard(spark, d).write.json(path)
+    return read_leaderboard(spark, path)
+
+
+@query
+def rejected_rows(spark, d):
+    """Unreadable pages, objects and CSV rows, counted: some of each are damaged on purpose."""
+    folder = fresh_dir(spark, "pages")
+    part = V.table(spark, d, "part")
+    cut = F.when(F.col("p_partkey") % 7 == 0, "[{").otherwise(F.concat(
+        F.lit('[{"id":"'), F.col("p_partkey"), F.lit('","outcomes":"'),
+        F.when(F.col("p_partkey") % 5 == 0, "{").otherwise("[]"),
+        F.lit('","clobTokenIds":"[]"}]')))
+    part.select(F.col("p_partkey"), cut.alias("value")).repartition("p_partkey").select(
+        "value").write.text(f"{folder}/markets")
+    events = F.when(F.col("p_partkey") % 3 == 0, '{"data":').otherwise(
+        '{"data":{"orderFilledEvents":[]}}')
+    part.select(events.alias("value")).write.text(f"{folder}/events")
+    rows = V.landed_fills(spark, d).withColumn("makerAmountFilled", F.when(
+        F.col("timestamp") % 9 == 0, "12x").otherwise(F.col("makerAmountFilled").cast("string")))
+    rows.write.option("header", True).csv(f"{folder}/fills.csv")
+    lines = "text"
+    return rejected_markets(read_pages(spark, f"{folder}/markets", lines)).unionByName(
+        rejected_events(read_pages(spark, f"{folder}/events", lines))).unionByName(
+        rejected_fields(spark, f"{folder}/fills.csv", FILLS))
+
+
+@query
+def shared_token(spark, d):
+    """One trade per fill even where two markets list the same token."""
+    known = markets(spark, d)
+    twice = known.unionByName(known.withColumn("id", F.concat("id", F.lit("-again"))))
+    rows = fills(spark, d)
+    return L.label_trades(rows, twice)
+
+
+@query
+def param_grid_idle(spark, d):
+    """A parameter set whose averages never exist has its row, without trades."""
+    idle = [*GRID, {"fast": 400, "slow": 1_000_000, "stop_loss": 0.02}]
+    grid = G.param_grid(bars(spark, d), idle, columns={"log_growth": log_growth()})
+    return rounded(grid, log_growth=9).drop("final_cash")

@@ -15,15 +15,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows of an input with few splits over all cores; a larger input stays as it is.
-
-    Each given table is one file with one row group, which a single task would read and map.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *df.columns) if df.rdd.getNumPartitions() < cores else df
-
-
 def epoch_seconds(ts: Column) -> Column:
     """Whole seconds since 1970 of a zone-less timestamp."""
     days = F.datediff(ts.cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
@@ -40,9 +31,9 @@ def _token(number: Column) -> Column:
 
 def landed_fills(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fills as they land: rows of line 7 arrive twice."""
-    line = spread(table(spark, sf_dir, "lineitem").select(
+    line = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_linestatus",
-        "l_shipdate"))
+        "l_shipdate").repartition("l_orderkey")  # the join's key: a file may be one split
     order = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     day = F.datediff(F.col("l_shipdate").cast("date"), F.lit("1970-01-01").cast("date"))
     token = _token(F.col("l_partkey") * 2 + 1 + F.col("l_linenumber") % 2)

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,25 +45,58 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+#: Work folders made by each Spark application, until released; a local application's own root.
+_made: dict[str, list[str]] = {}
+_roots: dict[str, tempfile.TemporaryDirectory] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir``.
 
-    Only a local-mode session may fall back to a temporary folder, because there all tasks
-    run on this machine.
+    Where it is unset, a local-mode application, all of whose tasks run on this machine, gets one
+    folder of its own, removed when the process ends.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         folder = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return tempfile.mkdtemp(prefix="tidemark-")
+    app = spark.sparkContext.applicationId
+    if app not in _roots:
+        _roots[app] = tempfile.TemporaryDirectory(prefix="tidemark-")
+    return _roots[app].name
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release(spark: SparkSession, since: int = 0) -> None:
+    """Delete the work folders that this application has made, the first ``since`` excepted.
+
+    For a caller that has written out, or no longer needs, what reads from them.
+    """
+    paths = _made.get(spark.sparkContext.applicationId, [])
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths[since:]:
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(hadoop).delete(target, True)
+    del paths[since:]
+
+
+@contextmanager
+def work(spark: SparkSession) -> Iterator[None]:
+    """Work folders made inside the block are deleted at its end."""
+    before = len(_made.get(spark.sparkContext.applicationId, []))
+    try:
+        yield
+    finally:
+        release(spark, before)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -68,6 +104,7 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 
     For results that several later steps use. Column pruning gives each use its own plan, so
     Spark would compute them again for every one; a written table also outlives lost executors.
+    It stays until :func:`release`, or the end of a :func:`work` block.
     """
     spark = df.sparkSession
     path = fresh_dir(spark, label)

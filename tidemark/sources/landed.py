@@ -1,13 +1,14 @@
 """Landed JSON responses to rows.
 
-A response is one text value: a JSON array of market objects, or one page of events. Read
-such files with ``spark.read.text(path, wholetext=True)``; the listing service caps a page at
-500 markets or 1000 events, which bounds the text of one row.
+A response is one text value: a JSON array of market objects, or one page of events.
+:func:`read_pages` reads files of them; the listing service caps a page at 500 markets or 1000
+events, which bounds the text of one row. The ``rejected_`` functions count what the parsers
+leave out.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,6 +19,41 @@ from tidemark.functions.text import first_filled, item, json_list
 DEFAULT_ANSWERS = {"bulk": ("", ""), "by_token": ("YES", "NO")}
 
 
+def read_pages(spark: SparkSession, path: str, layout: str = "files") -> DataFrame:
+    """Landed responses as column ``value``: one per file, or one per line (``text``)."""
+    if layout not in ("files", "text"):
+        raise ValueError(f"unknown layout {layout!r}")
+    return spark.read.text(path, wholetext=layout == "files")
+
+
+def rejected_markets(pages: DataFrame, column: str = "value") -> DataFrame:
+    """Pages that are no JSON array and objects with malformed lists, as (check, rows)."""
+    parsed = pages.select(F.from_json(F.col(column), T.ArrayType(schemas.MARKET_JSON)).alias("p"),
+                          F.col(column).alias("raw"))
+    broken = F.col("raw").isNotNull() & (F.col("p").isNull() | _cut_off(F.col("raw"), "[", "]"))
+    def bad(m):
+        return json_list(m["outcomes"]).isNull() | json_list(m["clobTokenIds"]).isNull()
+    objects = F.when(~broken, F.size(F.filter("p", bad))).otherwise(0)
+    counts = parsed.agg(F.count_if(broken).alias("broken_market_pages"),
+                        F.coalesce(F.sum(objects), F.lit(0)).alias("rejected_markets"))
+    return counts.unpivot([], counts.columns, "check", "rows")
+
+
+def rejected_events(pages: DataFrame, column: str = "value") -> DataFrame:
+    """Pages without a readable list of events, as (check, rows)."""
+    raw = F.col(column)
+    events = F.from_json(raw, schemas.EVENT_PAGE_JSON)["data"]["orderFilledEvents"]
+    broken = raw.isNotNull() & (events.isNull() | _cut_off(raw, "{", "}"))
+    return pages.agg(F.count_if(broken).alias("broken_event_pages")).unpivot(
+        [], ["broken_event_pages"], "check", "rows")
+
+
+def _cut_off(raw: Column, opens: str, closes: str) -> Column:
+    """Whether a response does not start and end as a whole one does."""
+    text = F.trim(raw)
+    return ~(text.startswith(opens) & text.endswith(closes))
+
+
 def parse_markets(pages: DataFrame, mode: str = "bulk", column: str = "value") -> DataFrame:
     """Market rows from landed pages.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, StructType
 
 from tidemark import schemas
 from tidemark.operators.markets import by_creation, combine_markets
@@ -20,18 +20,46 @@ def _format(path: str) -> str:
     return "parquet"
 
 
-def read_table(spark: SparkSession, path: str, schema: StructType,
-               fmt: str | None = None) -> DataFrame:
-    """A CSV, JSON lines, ORC or Parquet table under a declared schema."""
+CORRUPT = "_corrupt_record"
+
+
+def read_table(spark: SparkSession, path: str, schema: StructType, fmt: str | None = None,
+               on_bad: str = "null") -> DataFrame:
+    """A CSV, JSON lines, ORC or Parquet table under a declared schema.
+
+    ``on_bad`` says what an unreadable field of a text format does: ``null`` leaves it null,
+    ``keep`` also puts the whole line into a further column ``_corrupt_record``, ``fail`` stops
+    the query. :func:`rejected_fields` counts such rows.
+    """
+    if on_bad not in ("null", "keep", "fail"):
+        raise ValueError(f"unknown on_bad {on_bad!r}")
     fmt = fmt or _format(path)
+    if on_bad == "keep" and fmt in ("csv", "json"):
+        schema = StructType(list(schema.fields)).add(CORRUPT, "string")
     reader = spark.read.schema(schema)
+    if fmt in ("csv", "json"):
+        reader = reader.options(mode="FAILFAST" if on_bad == "fail" else "PERMISSIVE",
+                                columnNameOfCorruptRecord=CORRUPT)
     if fmt == "csv":
         # an unreadable field becomes null instead of shifting the row
-        reader = reader.options(header=True, escape='"', multiLine=False, mode="PERMISSIVE")
-        return reader.option("enforceSchema", False).csv(path)
+        reader = reader.options(header=True, escape='"', multiLine=False)
+        return reader.option("enforceSchema", on_bad == "keep").csv(path)
     return reader.format(fmt).load(path)
 
 
+def rejected_fields(spark: SparkSession, path: str, schema: StructType,
+                    fmt: str | None = None) -> DataFrame:
+    """Rows read and rows with an unreadable field, as (check, rows)."""
+    rows = read_table(spark, path, schema, fmt, on_bad="keep")
+    bad = F.col(CORRUPT).isNotNull() if CORRUPT in rows.columns else F.lit(False)
+    # a field that nobody reads is not parsed, so all of them enter the result
+    counted = rows.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(bad).alias("rows_with_bad_fields"),
+        F.bit_or(F.xxhash64(*schema.fieldNames())).alias("seen"))
+    counted = counted.filter(F.col("seen").isNotNull() | (F.col("rows") == 0)).drop("seen")
+    return counted.unpivot([], counted.columns, "check", "rows")
+
+
 def read_optional(spark: SparkSession, path: str | None, schema: StructType,
                   fmt: str | None = None) -> DataFrame:
     """The table, or an empty one with its schema where the path does not exist."""
@@ -51,6 +79,12 @@ def get_markets(spark: SparkSession, main: str | None, missing: str | None = Non
         read_optional(spark, missing, schemas.MARKETS)))
 
 
+def _dated(spark: SparkSession, path: str, schema: StructType, fmt: str | None,
+           dates: tuple[str, str] | None, on_bad: str = "null") -> DataFrame:
+    full = StructType(list(schema.fields)).add("date", DateType()) if dates else schema
+    return read_table(spark, path, full, fmt, on_bad)
+
+
 def _within(df: DataFrame, schema: StructType, dates: tuple[str, str] | None) -> DataFrame:
     """Rows of the date folders in a range (inclusive), without the folder column."""
     if dates:
@@ -59,15 +93,15 @@ def _within(df: DataFrame, schema: StructType, dates: tuple[str, str] | None) ->
 
 
 def read_fills(spark: SparkSession, path: str, fmt: str | None = None,
-               dates: tuple[str, str] | None = None) -> DataFrame:
+               dates: tuple[str, str] | None = None, on_bad: str = "null") -> DataFrame:
     """Raw fills; ``dates`` reads only those folders of a table from ``write_fills``."""
-    return _within(read_table(spark, path, schemas.FILLS, fmt), schemas.FILLS, dates)
+    return _within(_dated(spark, path, schemas.FILLS, fmt, dates, on_bad), schemas.FILLS, dates)
 
 
 def read_trades(spark: SparkSession, path: str, fmt: str | None = None,
                 dates: tuple[str, str] | None = None) -> DataFrame:
     """Labelled trades; ``dates`` reads only those folders of a table from ``write_trades``."""
-    return _within(read_table(spark, path, schemas.TRADES, fmt), schemas.TRADES, dates)
+    return _within(_dated(spark, path, schemas.TRADES, fmt, dates), schemas.TRADES, dates)
 
 
 def read_bars(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:

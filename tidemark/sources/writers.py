@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StructType
 
+from tidemark import schemas
 from tidemark.functions.text import day_of
+from tidemark.operators.labelling import label_trades
+from tidemark.session import stage
 
 
 def write_trades(trades: DataFrame, path: str, mode: str = "append", unit: str = "day") -> None:
@@ -26,3 +30,28 @@ def write_fills(fills: DataFrame, path: str, mode: str = "append", unit: str = "
     keys = ["date", "timestamp", "id"]
     (dated.repartitionByRange(*keys).sortWithinPartitions(*keys)
      .write.mode(mode).partitionBy("date").parquet(path))
+
+
+def rewrite_repaired(spark: SparkSession, path: str, fills: DataFrame, markets: DataFrame) -> int:
+    """Label the unmatched trades of a table from ``write_trades`` again, now that more markets
+    are known, and rewrite only the date folders that hold one found; returns their number.
+
+    The driver sees the dates of repaired trades, which the calendar bounds. New rows are staged
+    in the shared folder before folders are replaced, because those are read for them.
+    """
+    schema = StructType(list(schemas.TRADES.fields)).add("date", DateType())
+    stored = spark.read.schema(schema).parquet(path)
+    stale = stored.filter(~F.col("is_matched")).select("id", "date")
+    again = label_trades(fills.join(stale.select("id"), "id", "left_semi"), markets)
+    found = stage(again.filter("is_matched").join(stale, "id"), "repaired")
+    dates = [r[0] for r in found.select("date").distinct().collect()]
+    if not dates:
+        return 0
+    touched = stored.filter(F.col("date").isin(dates))
+    kept = touched.join(found.select("id"), "id", "left_anti").unionByName(
+        found.select(*touched.columns))
+    (stage(kept, "rewritten").hint("rebalance", "date")
+     .sortWithinPartitions("date", "market_id", "maker", "id")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("date").parquet(path))
+    return len(dates)
