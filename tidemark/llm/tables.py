@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from tidemark.session import configure
 
-#: Rows per Arrow batch: a batch of long documents still fits beside the executor's heap.
+#: Rows and bytes per Arrow batch: batches of long documents still fit beside the executor's heap.
 BATCH_ROWS = 1000
+BATCH_BYTES = 8 << 20
 
 
 _shipped: weakref.WeakSet = weakref.WeakSet()
@@ -37,9 +38,8 @@ def prepared(spark: SparkSession) -> SparkSession:
     """Session settings that results or memory depend on, and the package for the tasks."""
     configure(spark)
     ship_package(spark)
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key)) not in range(1, BATCH_ROWS + 1):
-        spark.conf.set(key, str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
 
 
