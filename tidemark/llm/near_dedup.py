@@ -6,16 +6,19 @@ minima of some permutations with maxima of others, whose matches are independent
 threshold of 0.85 two texts share none of the 44 bands with a probability below 1e-6.
 
 Texts of equal shingle sets are one class, found by a digest of the set, and only its smallest
-doc_id goes on. Links between classes are found in two rounds. First every bucket's members are
+doc_id goes on. Links between classes are found in three rounds. First every bucket's members are
 compared with its smallest member alone, which costs one pair per member and joins groups of
-copies of any size. Then members of one bucket that are still in different components are
-compared pair by pair: transitivity has settled all others. So no link is lost among bucket
-mates, and groups of copies are not expanded into pairs. A comparison is an exact intersection
-of both whole sets, each set recomputed only for texts that meet another in some bucket.
+copies of any size. Then the same is done with each bucket's most central member, the one with
+the least share of shingles that no other component has. What still lies in different
+components, though in a common bucket, is compared pair by pair unless it cannot be linked: two
+linked sets share one of their rarest shingles (a prefix in the order of rarity), and neither can
+have more shingles of its own than the threshold allows. So no link is lost among bucket mates,
+and groups of copies are not expanded into pairs. A comparison is an exact intersection of both
+whole sets, each set recomputed only for texts that meet another in some bucket.
 
 A text without words (or a null one) has an empty set and links with nothing. Rows without
-doc_id link with nothing either and are components of their own. Rows that
-share a doc_id are one document, linked with whatever one of them is linked with.
+doc_id link with nothing either and are components of their own. Rows that share a doc_id are
+one document, linked with whatever one of them is linked with.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import connected_components
@@ -124,35 +127,107 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.mapInArrow(_common, "u long, v long")
 
 
-def across(labelled: DataFrame) -> DataFrame:
-    """Pairs of bucket mates with different labels, without those that hold the centre.
-
-    Labels of a bucket are paired first and then filled with their members, so that members of
-    one label never meet each other.
-    """
+def open_members(labelled: DataFrame) -> DataFrame:
+    """rep, size and label of all members of buckets that hold more than one label."""
     groups = labelled.select("bucket", "label").distinct()
     mixed = groups.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select(
         F.col("bucket").alias("mixed_bucket"))
-    groups = stage(groups.join(mixed, groups["bucket"] == mixed["mixed_bucket"], "left_semi"),
-                   "open-buckets")
-    left = groups.select("bucket", F.col("label").alias("a_label"))
-    right = groups.select(F.col("bucket").alias("b_bucket"), F.col("label").alias("b_label"))
-    labels = left.join(right, (left["bucket"] == right["b_bucket"])
-                       & (left["a_label"] < right["b_label"])).drop("b_bucket")
-    a = labelled.select(F.col("bucket").alias("bucket"), F.col("label").alias("a_label"),
-                        F.col("centre"), F.col("rep").alias("a"), F.col("size").alias("a_size"))
-    b = labelled.select(F.col("bucket").alias("bucket"), F.col("label").alias("b_label"),
-                        F.col("rep").alias("b"), F.col("size").alias("b_size"))
-    pairs = labels.join(a, ["bucket", "a_label"]).join(b, ["bucket", "b_label"])
-    pairs = pairs.where((F.col("a") != F.col("centre")) & (F.col("b") != F.col("centre"))
-                        & (100 * F.least("a_size", "b_size")
-                           >= PERCENT * F.greatest("a_size", "b_size")))
-    first = F.col("a") < F.col("b")
-    return pairs.select(
-        F.when(first, F.col("a")).otherwise(F.col("b")).alias("u"),
-        F.when(first, F.col("b")).otherwise(F.col("a")).alias("v"),
-        F.when(first, F.col("a_size")).otherwise(F.col("b_size")).alias("u_size"),
-        F.when(first, F.col("b_size")).otherwise(F.col("a_size")).alias("v_size")).distinct()
+    return (labelled.join(mixed, labelled["bucket"] == mixed["mixed_bucket"], "left_semi")
+            .select("rep", "size", "label").distinct())
+
+
+def rarest(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """rep, size, common, keys: of each member, how many shingles members of other labels have
+    too, and the rarest of these, enough that two linked members of different labels share one.
+
+    Of n shingles in a common order, a partner at the threshold shares one of the first
+    n - ceil(0.85 n) + 1. Shingles of a single label lead the order and meet nobody, so they are
+    counted and left out; the others follow by rarity.
+    """
+    tokens = (members.join(sets.select(F.col("rep").alias("of"), "shingles"),
+                           F.col("rep") == F.col("of"))
+              .select("rep", "size", "label", F.explode("shingles").alias("key")))
+    shared = tokens.groupBy("key").agg(
+        F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi")).where(
+        "lo < hi").select(F.col("key").alias("shared_key"), "n")
+    ranked = (tokens.join(shared, F.col("key") == F.col("shared_key"))
+              .groupBy("rep", "size")
+              .agg(F.sort_array(F.collect_list(F.struct("n", "key"))).alias("found")))
+    common = F.size("found")
+    length = F.col("size") - F.ceil(F.col("size") * PERCENT / 100) + 1
+    wanted = F.greatest(length - (F.col("size") - common), F.lit(0)).cast("int")
+    return ranked.select("rep", "size", common.alias("common"),
+                         F.slice("found", F.lit(1), wanted)["key"].alias("keys"))
+
+
+def may_link(a: str, b: str) -> Column:
+    """Whether the sizes and common shingles of two members allow a link.
+
+    A side may also be a whole label, with the range of its sizes and its largest common count:
+    columns ``_size`` (least), ``_most`` (largest size) and ``_common``.
+    """
+    least = F.col(f"{a}_size") + F.col(f"{b}_size")
+    return ((100 * F.col(f"{a}_most") >= PERCENT * F.col(f"{b}_size"))
+            & (100 * F.col(f"{b}_most") >= PERCENT * F.col(f"{a}_size"))
+            & ((100 + PERCENT) * F.least(f"{a}_common", f"{b}_common") >= PERCENT * least))
+
+
+def central_pairs(rows: DataFrame) -> DataFrame:
+    """Of each bucket, the member with the least share of shingles of its own, paired with the
+    members of other labels. ``rows``: bucket, rep, size, common, label."""
+    share = (F.col("common") / F.col("size")).alias("share")
+    centre = (rows.groupBy("bucket").agg(F.max(F.struct(
+        share, (-F.col("rep")).alias("first"), "size", "common", "label")).alias("c"))
+        .select(F.col("bucket").alias("of"), (-F.col("c.first")).alias("u"),
+                F.col("c.size").alias("u_size"), F.col("c.size").alias("u_most"),
+                F.col("c.common").alias("u_common"), F.col("c.label").alias("u_label")))
+    others = rows.select("bucket", F.col("rep").alias("v"), F.col("size").alias("v_size"),
+                         F.col("size").alias("v_most"), F.col("common").alias("v_common"),
+                         F.col("label").alias("v_label"))
+    return (others.join(centre, F.col("bucket") == F.col("of"))
+            .where((F.col("u_label") != F.col("v_label")) & may_link("u", "v"))
+            .select("u", "v", "u_size", "v_size").distinct())
+
+
+def across(known: DataFrame) -> DataFrame:
+    """Pairs of members that differ in label, share one of their ``keys`` and may be linked.
+    ``known``: rep, size, common, keys, label.
+
+    Labels of a key are paired first, where their ranges of sizes allow a link, and then filled
+    with their members, the fewer first, so that members of one label never meet each other. A
+    pair comes from the first key that it shares.
+    """
+    keyed = known.withColumn("key", F.explode("keys"))
+    groups = keyed.groupBy("key", "label").agg(
+        F.min("size").alias("size"), F.max("size").alias("most"), F.max("common").alias("common"),
+        F.count("*").alias("n"))
+
+    def side(rows: DataFrame, name: str, *columns: str) -> DataFrame:
+        return rows.select(F.col("key").alias(f"{name}_key"),
+                           *[F.col(c).alias(f"{name}_{c}") for c in columns])
+
+    whole = ("label", "size", "most", "common")
+    left, right = side(groups, "p", "n", *whole), side(groups, "q", "n", *whole)
+    smaller = (F.col("p_n") < F.col("q_n")) | ((F.col("p_n") == F.col("q_n"))
+                                               & (F.col("p_label") < F.col("q_label")))
+    labels = left.join(right, (F.col("p_key") == F.col("q_key"))
+                       & (F.col("p_label") != F.col("q_label")) & smaller & may_link("p", "q"))
+    one = keyed.withColumn("most", F.col("size"))
+    u, v = (side(one, name, "rep", *whole, "keys") for name in "uv")
+    half = labels.join(u, (F.col("p_key") == F.col("u_key"))
+                       & (F.col("p_label") == F.col("u_label")) & may_link("u", "q"))
+    first = F.element_at(F.array_intersect("u_keys", "v_keys"), 1)
+    return half.join(v, (F.col("q_key") == F.col("v_key")) & (F.col("q_label") == F.col("v_label"))
+                     & may_link("u", "v") & (first == F.col("v_key"))).select(
+        F.col("u_rep").alias("u"), F.col("v_rep").alias("v"), "u_size", "v_size")
+
+
+def merged(components: DataFrame, links: DataFrame) -> DataFrame:
+    """The components with further links (a written table) between their members."""
+    if links.isEmpty():
+        return components
+    stars = components.select(F.col("vertex").alias("u"), F.col("component").alias("v"))
+    return connected_components(stars.unionByName(links))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -165,9 +240,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     "set-classes")
 
     first = classes.withColumnRenamed("set_key", "class_key")
-    members = (signed.where(usable).join(first, (signed["set_key"] == first["class_key"])
+    firsts = (signed.where(usable).join(first, (signed["set_key"] == first["class_key"])
                                          & (signed["doc_id"] == first["rep"]), "left_semi"))
-    banded = members.select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("size"),
+    banded = firsts.select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("size"),
                             F.explode("bands").alias("band"))
     centres = (banded.groupBy("band")
                .agg(F.min(F.struct("rep", "size")).alias("c"), F.count("*").alias("n"))
@@ -178,7 +253,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     met = buckets.select(F.col("rep").alias("met")).distinct()
     wanted = texts.select(F.col("doc_id").alias("rep"), "text")
     sets = stage(wanted.join(met, wanted["rep"] == met["met"], "left_semi")
-                 .mapInArrow(_sets, "rep long, shingles array<long>"), "shingle-sets")
+                 .mapInArrow(_sets, "rep long, shingles array<long>").where("size(shingles) > 0"),
+                 "shingle-sets")
 
     star = (buckets.where("rep <> centre")
             .select(F.col("centre").alias("u"), F.col("rep").alias("v"),
@@ -187,11 +263,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     joined = connected_components(links)
 
     labelled = buckets.join(joined, buckets["rep"] == joined["vertex"], "left").select(
-        "bucket", "centre", "rep", "size", F.coalesce("component", "rep").alias("label"))
-    late = stage(confirmed(across(labelled), sets), "late-links")
-    stars = joined.select(F.col("vertex").alias("u"), F.col("component").alias("v"))
-    components = connected_components(stars.unionByName(late)).select(
-        F.col("vertex").alias("member"), "component")
+        "bucket", "rep", "size", F.coalesce("component", "rep").alias("label"))
+    members = stage(open_members(labelled), "open-members")
+    known = stage(rarest(members, sets), "rarest-shingles")
+
+    counted = known.select(F.col("rep").alias("known_rep"), "common")
+    central = central_pairs(labelled.join(counted, labelled["rep"] == counted["known_rep"]))
+    joined = merged(joined, stage(confirmed(central, sets), "central-links"))
+
+    known = known.join(joined, known["rep"] == joined["vertex"], "left").select(
+        "rep", "size", "common", "keys", F.coalesce("component", "rep").alias("label"))
+    late = stage(confirmed(across(stage(known, "labelled-members")), sets), "late-links")
+    components = merged(joined, late).select(F.col("vertex").alias("member"), "component")
 
     keys = classes.join(components, classes["rep"] == components["member"], "left").select(
         F.col("set_key").alias("class_key"), F.coalesce("component", "rep").alias("class_component"))
