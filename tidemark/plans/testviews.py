@@ -33,7 +33,9 @@ def landed_fills(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fills as they land: rows of line 7 arrive twice."""
     line = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_linestatus",
-        "l_shipdate").repartition("l_orderkey")  # the join's key: a file may be one split
+        "l_shipdate")
+    # dealt out by the join's key, as the session's partitions say: a file may be one split
+    line = line.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "l_orderkey")
     order = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     day = F.datediff(F.col("l_shipdate").cast("date"), F.lit("1970-01-01").cast("date"))
     token = _token(F.col("l_partkey") * 2 + 1 + F.col("l_linenumber") % 2)
