@@ -1,10 +1,11 @@
 """Mixing sources to target weights with a low-discrepancy schedule.
 
 The mix is a row of 2**m slots of ``block`` words each. Slot j draws the van der Corput point of
-j, which is a permutation of the 2**m grid points: every source's share of the line of cumulative
-targets holds as many points as its target has blocks, give or take one, and any stretch of the
-schedule is close to the targets. The slots of a source are ranked; slot rank r takes block r of
-the source's word stream. The stream is its documents in an order shuffled by hash, repeated as
+j, which is a permutation of the 2**m grid points. The sources lie on the grid one after the
+other, each with as many points as its target has blocks, the trimmed last one included, so every
+block has one slot and any stretch of the schedule is close to the targets. Points behind the last
+source stay empty. The slots of a source are ranked; slot rank r takes block r of the source's
+word stream. The stream is its documents in an order shuffled by hash, repeated as
 often as the target asks, cut into equal blocks and trimmed at the target.
 
 Running sums and ranks go by chunks (hash ranges of documents, ranges of slots): sums per chunk
@@ -106,15 +107,17 @@ def _starts(rows: DataFrame, group: Column, chunk: Column, order: list, value: s
 
 
 def schedule(shares: DataFrame, slots: int, block: int) -> DataFrame:
-    """slot, source_no and rank of every slot that a source owns.
+    """slot, source_no and rank of every slot that a source owns, one per block of its quota.
 
-    ``shares``: source_no, from_word and to_word of the line of cumulative targets.
+    ``shares``: source_no and quota (words).
     """
     spark = shares.sparkSession
     bits = slots.bit_length() - 1
-    first, end = F.ceil(F.col("from_word") / block), F.ceil(F.col("to_word") / block)
-    owners = (shares.select("source_no", first.cast("long").alias("first_point"),
-                            end.cast("long").alias("end_point"))
+    blocks = F.ceil(F.col("quota") / F.lit(block)).cast("long")
+    end = F.sum("blocks").over(W.orderBy("source_no").rowsBetween(W.unboundedPreceding, 0))
+    owners = (shares.select("source_no", blocks.alias("blocks"))
+              .withColumn("end_point", end)
+              .withColumn("first_point", F.col("end_point") - F.col("blocks"))
               .where("first_point < end_point")
               .withColumn("cell", F.explode(F.sequence(
                   F.floor(F.col("first_point") / CELL_POINTS).cast("long"),
@@ -132,22 +135,20 @@ def schedule(shares: DataFrame, slots: int, block: int) -> DataFrame:
 
 
 def shares_of(sources: DataFrame) -> DataFrame:
-    """``sources`` (see ``targets``) with a number, the whole words that the source may give
-    (``quota``), and its part of the line of cumulative quotas."""
+    """``sources`` (see ``targets``) with a number, and the whole words that the source may give
+    (``quota``)."""
     quota = F.least(F.round("target").cast("long"), MAX_REPEATS * F.col("source_size"))
     order = W.orderBy(F.col("source").asc_nulls_last())
-    numbered = sources.withColumn("quota", quota).withColumn(
+    return sources.withColumn("quota", quota).withColumn(
         "source_no", F.row_number().over(order).cast("long"))
-    upper = F.sum("quota").over(order.rowsBetween(W.unboundedPreceding, 0))
-    return numbered.withColumn("to_word", upper).withColumn(
-        "from_word", F.col("to_word") - F.col("quota"))
 
 
 def schedule_size(total: int, sources: int) -> tuple[int, int]:
-    """Number of slots (a power of two) and words per block."""
-    wanted = max(SLOTS_PER_SOURCE * sources, -(-total // BLOCK_WORDS), 1)
+    """Number of slots (a power of two) and words per block, so that the blocks of all sources,
+    each with a last one that may be trimmed, have a slot."""
+    wanted = max(SLOTS_PER_SOURCE * sources, -(-total // BLOCK_WORDS) + sources, 1)
     slots = 1 << (wanted - 1).bit_length()
-    return slots, max(1, -(-total // slots))
+    return slots, max(1, -(-total // max(1, slots - sources)))
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, id_col: str = "doc_id",
