@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import bpe_codec, exact_dedup, language, mixing, near_dedup
 from tidemark.llm.queries import WORD_BPE
-from tidemark.llm.tables import keep_rows, prepared, table
+from tidemark.llm.tables import ROW, keep_rows, numbered, prepared, table
 from tidemark.session import stage
 
 
@@ -22,31 +22,42 @@ def with_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, the document with the largest id. Rows are told apart by id and digest, so
-    an id that two different texts share is judged by each text's own class."""
+    """Of equal texts, the document with the largest id; of rows that share id and text too, or
+    have no id, the first."""
     prepared(spark)
-    kept = exact_dedup.exact_duplicates(docs).where("kept").select(
-        F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_sha"))
-    digest = F.sha2(F.coalesce(docs["text"], F.lit("")), 256)
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept_id"])
-                     & (digest == kept["_kept_sha"]), "left_semi")
+    rows = numbered(docs)
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256)
+    firsts = rows.groupBy("doc_id", digest.alias("_sha")).agg(F.min(ROW).alias("wanted"))
+    kept = exact_dedup.exact_duplicates(rows).where("kept").select(
+        F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_sha")).distinct()
+    return keep_rows(rows, firsts.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept_id"))
+                                       & (F.col("_sha") == F.col("_kept_sha"))))
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of near copies, the document with the smallest id."""
-    return keep_rows(docs, near_dedup.near_duplicates(docs).where("kept"))
+    """Of every group of near copies, the document with the smallest id; of rows that share it,
+    the first. Rows without an id come last, and are compared like all others."""
+    prepared(spark)
+    rows = numbered(docs)
+    groups = near_dedup.near_duplicates(rows, id_col=ROW).select(
+        F.col("doc_id").alias("_member"), "component_id")
+    members = rows.select(ROW, "doc_id").join(groups, F.col(ROW) == F.col("_member"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.col(ROW).alias("row")))
+    return keep_rows(rows, members.groupBy("component_id").agg(first.alias("first"))
+                     .select(F.col("first.row").alias("wanted")))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them, to whole copies: a document of which less than
     half is taken goes, one of which two and a half are taken comes three times."""
-    words = (mixing.taken_words(docs).groupBy(F.col("doc_id").alias("_mix_id"))
-             .agg(F.sum("taken").alias("_taken"), F.sum("size").alias("_size"))
-             .withColumn("_copies", F.floor(F.col("_taken") / F.col("_size") + 0.5).cast("int"))
-             .where("_size > 0 and _copies > 0"))
-    joined = docs.join(words, docs["doc_id"].eqNullSafe(words["_mix_id"]))
+    prepared(spark)
+    rows = numbered(docs)
+    words = (mixing.taken_rows(rows, row_col=ROW)
+             .withColumn("_copies", F.floor(F.col("taken") / F.col("size") + 0.5).cast("int"))
+             .where("size > 0 and _copies > 0").select("row_id", "_copies"))
+    joined = rows.join(words, rows[ROW] == words["row_id"])
     copies = joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return copies.select(*[docs[c] for c in docs.columns])
+    return copies.select(*[rows[c] for c in docs.columns])
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -38,24 +38,27 @@ CHUNK_ROWS = 4096
 #: Grid points per cell of the join that finds a point's source.
 CELL_POINTS = 1024
 
-SIZE_ROW = "doc_id long, source string, size long"
+SIZE_ROW = "doc_id long, source string, size long, row_id long"
 
 
 def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          source_col: str = "source") -> DataFrame:
-    """doc_id, source and the number of words of every row."""
+          source_col: str = "source", row_col: str | None = None) -> DataFrame:
+    """doc_id, source, the number of words and a row number (``row_col``, if given) of every row."""
     prepared(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes = [len(t.encode().split()) for t in batch.column("text").to_pylist()]
             yield pa.record_batch(
-                [batch.column("doc_id"), batch.column("source"), pa.array(sizes, pa.int64())],
-                names=["doc_id", "source", "size"])
+                [batch.column("doc_id"), batch.column("source"), pa.array(sizes, pa.int64()),
+                 batch.column("row_id")],
+                names=["doc_id", "source", "size", "row_id"])
 
+    row = F.col(f"`{row_col}`").cast("long") if row_col else F.monotonically_increasing_id()
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                        F.col(f"`{source_col}`").cast("string").alias("source"),
-                       F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
+                       F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"),
+                       row.alias("row_id"))
     return rows.mapInArrow(run, SIZE_ROW)
 
 
@@ -152,15 +155,15 @@ def schedule_size(total: int, sources: int) -> tuple[int, int]:
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, id_col: str = "doc_id",
-        text_col: str = "text", source_col: str = "source") -> tuple[DataFrame, DataFrame]:
+        text_col: str = "text", source_col: str = "source",
+        row_col: str | None = None) -> tuple[DataFrame, DataFrame]:
     """The rows with their sizes and targets, and the mix.
 
-    Rows: row_id, doc_id, source, size, source_size, target. Mix: slot, rank, row_id, epoch,
+    Rows: row_id (``row_col``, if given), doc_id, source, size, source_size, target. Mix: slot, rank, row_id, epoch,
     from_word and n_words: the words of that row that the slot holds. Slots in ascending order
     are the mix; a slot holds pieces of one source.
     """
-    sizes = stage(sized(docs, id_col, text_col, source_col)
-                  .withColumn("row_id", F.monotonically_increasing_id()), "sizes")
+    sizes = stage(sized(docs, id_col, text_col, source_col, row_col), "sizes")
     sources = stage(shares_of(targets(sizes, weights)), "sources")
     total, n_sources, n_rows = (
         int(v or 0) for v in (*sources.agg(F.sum("quota"), F.count("*")).head(), sizes.count()))
@@ -192,11 +195,18 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, id_col: str = "doc_
     return rows, mixed.select("slot", "rank", "row_id", "epoch", "from_word", "n_words")
 
 
-def taken_words(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, id_col: str = "doc_id",
-                text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """doc_id, source, size, source_size, target and taken of every row."""
-    rows, mixed = mix(docs, weights, id_col, text_col, source_col)
+def taken_rows(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, id_col: str = "doc_id",
+               text_col: str = "text", source_col: str = "source",
+               row_col: str | None = None) -> DataFrame:
+    """row_id, doc_id, source, size, source_size, target and taken of every row."""
+    rows, mixed = mix(docs, weights, id_col, text_col, source_col, row_col)
     sums = mixed.groupBy(F.col("row_id").alias("mixed_row")).agg(F.sum("n_words").alias("words"))
     return rows.join(sums, rows["row_id"] == sums["mixed_row"], "left").select(
-        "doc_id", "source", "size", "source_size", "target",
+        "row_id", "doc_id", "source", "size", "source_size", "target",
         F.coalesce("words", F.lit(0)).cast("long").alias("taken"))
+
+
+def taken_words(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, id_col: str = "doc_id",
+                text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """doc_id, source, size, source_size, target and taken of every row."""
+    return taken_rows(docs, weights, id_col, text_col, source_col).drop("row_id")

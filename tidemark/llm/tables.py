@@ -10,12 +10,15 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import configure
+from tidemark.session import configure, stage
 
 #: Rows and bytes per Arrow batch: batches of long documents still fit beside the executor's heap.
 BATCH_ROWS = 1000
 BATCH_BYTES = 8 << 20
 
+#: Row number that tells rows apart which share an id, or have none.
+ROW = "_row_number"
+
 
 _shipped: weakref.WeakSet = weakref.WeakSet()
 
@@ -54,10 +57,15 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                        F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
 
 
-def keep_rows(docs: DataFrame, verdict: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is in ``verdict`` (column ``doc_id``); null matches null."""
-    wanted = verdict.select(F.col("doc_id").alias("_wanted_id")).distinct()
-    return docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["_wanted_id"]), "left_semi")
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with a written row number, column ``ROW``."""
+    return stage(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+
+
+def keep_rows(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows of ``rows`` (see ``numbered``) whose number is in ``wanted`` (column ``wanted``), less
+    the number."""
+    return rows.join(wanted, rows[ROW] == wanted["wanted"], "left_semi").drop(ROW)
 
 
 def word_pattern() -> str:
