@@ -56,3 +56,10 @@ def test_rows_without_an_id_are_mixed_each_for_itself(spark):
     got = Counter(r["text"].split()[0] for r in P.mixed(spark, docs, "").collect())
     assert got == Counter({f"d{i}": n for i, n in taken.items() if n})
     assert len(set(taken.values())) > 1
+
+
+def test_texts_stay_where_no_row_is_labelled(spark):
+    docs = C.frame(spark, [*C.ODD, (20, "12 34 !!", "a")]).withColumn("lang", F.lit(None).cast("string"))
+    got = P.with_language(spark, docs, "")
+    assert got.schema == docs.schema
+    assert ids(got) == sorted((d for d, t, _ in C.ODD if t and t.strip()), key=str)

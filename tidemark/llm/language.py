@@ -221,13 +221,18 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def accepted(docs: DataFrame, model: LanguageModel | None, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns as they are, whose text has a language."""
+    """The rows of ``docs``, all columns as they are, whose text has a language. Without a model
+    that is every text with a letter."""
     prepared(docs.sparkSession)
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            only = pa.record_batch([batch.column(at)], names=["text"])
-            yield batch.filter(pa.array([f[0] != UNKNOWN for f in _predict(model, only)], pa.bool_()))
+            if model is None:
+                keep = [bool(t and _LETTER.search(t)) for t in batch.column(at).to_pylist()]
+            else:
+                only = pa.record_batch([batch.column(at)], names=["text"])
+                keep = [f[0] != UNKNOWN for f in _predict(model, only)]
+            yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
