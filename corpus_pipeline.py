@@ -49,12 +49,22 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them, to whole copies: a document of which less than
-    half is taken goes, one of which two and a half are taken comes three times."""
+    half is taken goes, one of which two and a half are taken comes three times.
+
+    The mix takes all documents of a source in whole repeats but the one at the trimmed end, so
+    that a source's words miss its target by half of that document at most. A source with a
+    target that would leave no document keeps the one of which most is taken.
+    """
     prepared(spark)
     rows = numbered(docs)
-    words = (mixing.taken_rows(rows, row_col=ROW)
-             .withColumn("_copies", F.floor(F.col("taken") / F.col("size") + 0.5).cast("int"))
-             .where("size > 0 and _copies > 0").select("row_id", "_copies"))
+    taken = stage(mixing.taken_rows(rows, row_col=ROW).where("taken > 0").select(
+        "row_id", "source", "taken",
+        F.floor(F.col("taken") / F.col("size") + 0.5).cast("int").alias("_copies")), "taken")
+    most = F.max(F.struct("taken", (-F.col("row_id")).alias("first")))
+    lone = (taken.groupBy("source").agg(most.alias("most"), F.sum("_copies").alias("n"))
+            .where("n = 0").select((-F.col("most.first")).alias("row_id"),
+                                   F.lit(1).alias("_copies")))
+    words = taken.where("_copies > 0").select("row_id", "_copies").unionByName(lone)
     joined = rows.join(words, rows[ROW] == words["row_id"])
     copies = joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
     return copies.select(*[rows[c] for c in docs.columns])

@@ -63,3 +63,25 @@ def test_texts_stay_where_no_row_is_labelled(spark):
     got = P.with_language(spark, docs, "")
     assert got.schema == docs.schema
     assert ids(got) == sorted((d for d, t, _ in C.ODD if t and t.strip()), key=str)
+
+
+def test_emitted_words_are_near_the_targets(spark):
+    rng = random.Random(6)
+    rows = [(i, " ".join([f"d{i}"] * rng.randint(1, 90)), rng.choice("abcd")) for i in range(80)]
+    rows += [(100, "d100 " * 2000, "long"), (101, "d101 " * 4000, None), (102, "d102", "one"), (103, "", "none")]
+    docs = C.frame(spark, rows)
+    size, target, taken, cut, emitted = {}, {}, {}, {}, Counter()
+    for r in mixing.taken_rows(docs, row_col="doc_id").collect():
+        size[r["doc_id"]], target[r["source"]] = r["size"], r["target"]
+        taken[r["source"]] = taken.get(r["source"], 0) + r["taken"]
+        if r["size"] and r["taken"] % r["size"]:
+            cut.setdefault(r["source"], []).append(r["size"])
+    for r in P.mixed(spark, docs, "").collect():
+        emitted[r["source"]] += size[r["doc_id"]]
+    assert 0 < target[None] < 2000  # less than half of its only document
+    for source, goal in target.items():
+        assert len(cut.get(source, [])) <= 1
+        assert (emitted[source] > 0) == (goal >= 0.5)
+        if source is not None:
+            assert abs(emitted[source] - goal) <= max(cut.get(source, [0])) / 2 + 1
+    assert emitted[None] == 4000
