@@ -16,9 +16,13 @@ from tidemark.llm.tables import ROW, keep_rows, numbered, prepared, table
 from tidemark.session import stage
 
 
+#: Languages whose documents stay, as predicted; None keeps every language.
+LANGUAGES: frozenset[str] | None = None
+
+
 def with_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text has a language; those without a letter go."""
-    return language.accepted(docs, language.fit(docs))
+    """Documents whose text has a language, one of ``LANGUAGES`` if set. Those without a letter go."""
+    return language.accepted(docs, language.fit(docs), languages=LANGUAGES)
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

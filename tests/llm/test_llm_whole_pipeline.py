@@ -3,6 +3,7 @@
 import random
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as P
@@ -85,3 +86,15 @@ def test_emitted_words_are_near_the_targets(spark):
         if source is not None:
             assert abs(emitted[source] - goal) <= max(cut.get(source, [0])) / 2 + 1
     assert emitted[None] == 4000
+
+
+def test_languages_that_are_not_wanted_go_by_prediction(spark, monkeypatch):
+    rows = [(i, ("tlh qapla batleth " if i % 2 else "dothraki khal vezhven ") * 9,
+             "tlh" if i % 2 else "dor") for i in range(60)]
+    rows.append((60, "qapla batleth tlh " * 9, "dor"))  # the label does not decide
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert P.with_language(spark, docs, "").count() == 61
+    monkeypatch.setattr(P, "LANGUAGES", frozenset({"dor"}))
+    assert ids(P.with_language(spark, docs, "")) == sorted(range(0, 60, 2), key=str)
+    with pytest.raises(ValueError):
+        P.with_language(spark, docs.withColumn("lang", F.lit(None).cast("string")), "").count()

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from functools import lru_cache
 from itertools import combinations
 
@@ -220,9 +220,13 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return predict_language(docs, model, id_col, text_col)
 
 
-def accepted(docs: DataFrame, model: LanguageModel | None, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns as they are, whose text has a language. Without a model
-    that is every text with a letter."""
+def accepted(docs: DataFrame, model: LanguageModel | None, text_col: str = "text",
+             languages: Collection[str] | None = None) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose text has a language, and one of
+    ``languages`` if given. Without a model every text with a letter stays if no languages are
+    given; if some are, that is an error."""
+    if model is None and languages is not None:
+        raise ValueError("no labelled rows: languages cannot be told apart")
     prepared(docs.sparkSession)
     at = docs.columns.index(text_col)
 
@@ -232,7 +236,8 @@ def accepted(docs: DataFrame, model: LanguageModel | None, text_col: str = "text
                 keep = [bool(t and _LETTER.search(t)) for t in batch.column(at).to_pylist()]
             else:
                 only = pa.record_batch([batch.column(at)], names=["text"])
-                keep = [f[0] != UNKNOWN for f in _predict(model, only)]
+                keep = [f[0] != UNKNOWN and (languages is None or f[0] in languages)
+                        for f in _predict(model, only)]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
