@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import (
-    bpe_codec, exact_dedup, host_quality, language, licenses, mixing, near_dedup, token_count,
-    token_files, url_filter)
+    bpe_codec, exact_dedup, host_quality, language, lexical_search, licenses, merkle, mixing,
+    near_dedup, token_count, token_files, toxicity, url_filter)
 from tidemark.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,7 +74,25 @@ def op10_source_mix(spark, sf_dir):
     return mixing.taken_words(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_lexical_search(spark, sf_dir):
+    return lexical_search.ranked_search(table(spark, sf_dir, "documents"),
+                                        table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op12_merkle_manifest(spark, sf_dir):
+    return merkle.merkle_manifest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_toxicity(spark, sf_dir):
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 SQL: dict[str, str] = {
+    "op11_lexical_search": lexical_search.SQL,
+    "op12_merkle_manifest": merkle.manifest_sql(),
     "op1_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id IS NOT DISTINCT FROM max(doc_id) OVER same AS kept,

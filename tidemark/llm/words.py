@@ -89,6 +89,11 @@ def word_hashes(text: bytes, lower: bool = False) -> np.ndarray:
     return hashed_words(text, lower)[0]
 
 
+def word_hashes_between(text: bytes, gap: np.ndarray) -> np.ndarray:
+    """Hashes of words in lower case (A-Z), separated by the bytes that ``gap`` marks."""
+    return hashed_words(text, True, gap)[0]
+
+
 def window_hashes(words: np.ndarray, width: int) -> np.ndarray:
     """One hash per window of ``width`` consecutive words; none for fewer words."""
     n = len(words) - width + 1
