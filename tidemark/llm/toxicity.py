@@ -85,10 +85,40 @@ _SPACED = re.compile(r"(?<!\w)(?:[^\W\d_][ .\-_*]){3,}[^\W\d_](?!\w)")
 _GAPS = re.compile(r"[\W_]+")
 
 
+_OTHER, _LETTER, _CAPITAL, _MARK, _RARE = range(5)
+#: Separators below 128 as spaces, for texts without any other separators.
+_PLAIN = bytes(c if c > 127 or chr(c).isalnum() else 32 for c in range(256))
+
+
 @lru_cache(maxsize=1)
 def _kinds() -> np.ndarray:
-    """Per code point below 65,536: 1 for a letter, 2 for a capital."""
-    return np.array([2 if chr(c).isupper() else int(chr(c).isalpha()) for c in range(1 << 16)], np.uint8)
+    """What a code point below 65,536 is: letter, capital, a mark that is written for a letter, a
+    separator above 127, or something else."""
+    def kind(c: int) -> int:
+        if chr(c).isalpha():
+            return _CAPITAL if chr(c).isupper() else _LETTER
+        if chr(c) in "013457@$!|*":
+            return _MARK
+        return _RARE if c > 127 and not chr(c).isalnum() else _OTHER
+    return np.array([kind(c) for c in range(1 << 16)], np.uint8)
+
+
+def _kinds_of(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Code points and their kinds; those above 65,535 count as separators."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    kinds = _kinds()[np.minimum(codes, 0xFFFF)]
+    if len(codes) and codes.max() > 0xFFFF:
+        kinds[codes > 0xFFFF] = _RARE
+    return codes, kinds
+
+
+def _capital_words(kinds: np.ndarray) -> int:
+    """Runs of two letters or more that are capitals throughout."""
+    letter = (kinds == _LETTER) | (kinds == _CAPITAL)
+    edge = np.diff(np.concatenate([[False], letter, [False]]).astype(np.int8))
+    start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    capitals = np.concatenate([[0], np.cumsum(kinds == _CAPITAL)])
+    return int(((end - start >= 2) & (capitals[end] - capitals[start] == end - start)).sum())
 
 
 def _words(lists: dict[str, str]) -> frozenset[str]:
@@ -119,16 +149,12 @@ class FeatureMaker:
     def bad(self, word: str) -> bool:
         return word in self.insults or self.weight(word) > 0
 
-    def hidden(self, text: str, lower: str) -> int:
+    def hidden(self, odd: list[str], spaced: list[str], stretched: list[str], words: list[str]) -> int:
         """Words that are in a lexicon only once obfuscation is undone."""
-        found = 0
-        for odd in _ODD.findall(lower):
-            plain = odd.translate(LOOKALIKE).replace("*", "")
-            found += self.bad(plain) or self._starred(odd)
-        for run in _SPACED.findall(lower):
-            found += self.bad(_GAPS.sub("", run))
-        if _LONG.search(lower):
-            for word in _WORD.findall(lower):
+        found = sum(self.bad(w.translate(LOOKALIKE).replace("*", "")) or self._starred(w) for w in odd)
+        found += sum(self.bad(_GAPS.sub("", run)) for run in spaced)
+        if stretched:
+            for word in words:
                 if _LONG.search(word) and not self.bad(word):
                     found += self.bad(_LONG.sub(r"\1", word)) or self.bad(_LONG.sub(r"\1\1", word))
         return found
@@ -142,7 +168,23 @@ class FeatureMaker:
 
     def __call__(self, text: str) -> list[float]:
         lower = text.lower()
-        words = _WORD.findall(lower)
+        _, original = _kinds_of(text)
+        codes, kinds = _kinds_of(lower)
+        seen = np.bincount(kinds, minlength=5)
+        words = (_WORD.findall(lower) if seen[_RARE] else
+                 lower.encode("utf-8", "surrogatepass").translate(_PLAIN).decode("utf-8", "surrogatepass").split())
+        letter = (kinds == _LETTER) | (kinds == _CAPITAL)
+        alone = letter.copy()
+        alone[1:] &= ~letter[:-1]
+        alone[:-1] &= ~letter[1:]
+        thrice = (codes[2:] == codes[1:-1]) & (codes[1:-1] == codes[:-2]) & letter[2:]
+        odd = _ODD.findall(lower) if seen[_MARK] else []
+        spaced = _SPACED.findall(lower) if alone.sum() > 3 else []
+        stretched = _LONG.findall(lower) if thrice.any() else []
+        exclaims, asks = text.count("!"), text.count("?")
+        runs = len(_MARKS.findall(text)) if exclaims + asks > 1 else 0
+        capitals = int((original == _CAPITAL).sum())
+        letters = capitals + int((original == _LETTER).sum())
         n = max(len(words), 1)
         chars = max(len(text), 1)
         weights = {w: self.weight(w) for w in set(words)
@@ -163,16 +205,12 @@ class FeatureMaker:
                 gap = np.minimum(abs(addressed[after] - at), abs(addressed[np.maximum(after - 1, 0)] - at))
                 near = 1 / (1 + gap)
                 near_mean, near_most = float(near.mean()), float(near.max())
-        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-        kinds = np.bincount(_kinds()[np.minimum(codes, 0xFFFF)], minlength=3)
-        shouted = sum(w.isupper() for w in text.split()) if kinds[2] > 1 else 0
         return [float(np.log1p(len(words))), 100 * insults / n, float(np.log1p(insults)),
                 float(distinct), 100 * sum(own) / n, float(np.log1p(len(own))), max(own, default=0.0),
-                float(np.log1p(self.hidden(text, lower))), 100 * you / n, near_mean, near_most,
-                float(kinds[2] / max(kinds[1] + kinds[2], 1)), shouted / n,
-                100 * text.count("!") / chars, 100 * text.count("?") / chars,
-                100 * len(_MARKS.findall(text)) / n, 100 * len(_ODD.findall(lower)) / n,
-                100 * len(_LONG.findall(lower)) / n, 100 * len(_SPACED.findall(lower)) / n]
+                float(np.log1p(self.hidden(odd, spaced, stretched, words))), 100 * you / n, near_mean, near_most,
+                capitals / max(letters, 1), (_capital_words(original) if capitals > 1 else 0) / n,
+                100 * exclaims / chars, 100 * asks / chars, 100 * runs / n,
+                100 * len(odd) / n, 100 * len(stretched) / n, 100 * len(spaced) / n]
 
 
 def with_features(rows: DataFrame, maker: FeatureMaker) -> DataFrame:
