@@ -82,17 +82,37 @@ def release(spark: SparkSession, since: int = 0) -> None:
     For a caller that has written out, or no longer needs, what reads from them.
     """
     paths = _made.get(spark.sparkContext.applicationId, [])
+    _delete(spark, paths[since:])
+    del paths[since:]
+
+
+def _delete(spark: SparkSession, paths: list[str]) -> None:
     hadoop = spark.sparkContext._jsc.hadoopConfiguration()
-    for path in paths[since:]:
+    for path in paths:
         target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         target.getFileSystem(hadoop).delete(target, True)
-    del paths[since:]
+
+
+def mark(spark: SparkSession) -> int:
+    """The number of work folders so far, for :func:`stage_last` or :func:`release`."""
+    return len(_made.get(spark.sparkContext.applicationId, []))
+
+
+def stage_last(df: DataFrame, label: str, since: int) -> DataFrame:
+    """:func:`stage` a result whose inputs nobody needs any more: the work folders made after
+    ``since`` (see :func:`mark`) are deleted once it is written."""
+    spark = df.sparkSession
+    result = stage(df, label)
+    paths = _made[spark.sparkContext.applicationId]
+    _delete(spark, paths[since:-1])
+    del paths[since:-1]
+    return result
 
 
 @contextmanager
 def work(spark: SparkSession) -> Iterator[None]:
     """Work folders made inside the block are deleted at its end."""
-    before = len(_made.get(spark.sparkContext.applicationId, []))
+    before = mark(spark)
     try:
         yield
     finally:
