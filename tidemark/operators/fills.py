@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.fills import USDC_ASSET
@@ -15,14 +16,19 @@ _CHOICE = ("timestamp", "maker", "taker", "makerAssetId", "takerAssetId",
            "makerAmountFilled", "takerAmountFilled", "transactionHash")
 
 
+def first_of(rows: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
+    """One row per key, by ``order``. Spark keeps one per key and task before it shuffles."""
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return rows.withColumn("_place", place).filter("_place = 1").drop("_place")
+
+
 def dedup_fills(fills: DataFrame) -> DataFrame:
-    """One row per id over the whole input.
+    """One row per id over the whole input; null is an id.
 
-    A minimum, not a window: copies of one id collapse before the shuffle, so an id that
-    holds a large share of the rows costs no more than any other.
+    The first row of each id stays per task before the shuffle, so an id that holds a large share
+    of the rows costs no more than any other.
     """
-    kept = fills.groupBy("id").agg(F.min(F.struct(*_CHOICE)).alias("row"))
-    return kept.select("id", "row.*").select(*fills.columns)
+    return first_of(fills, ["id"], _CHOICE)
 
 
 def order_fills(fills: DataFrame) -> DataFrame:
