@@ -218,12 +218,53 @@ def test_averages_keep_small_prices(spark):
     assert got[0] is None and all(abs(x - 6e-7) < 1e-12 for x in got[1:])
 
 
-def test_a_rule_that_enters_twice_is_refused(spark):
-    rows = [("m", i, 10.0, 10.0, c) for i, c in enumerate([0, 1, 0, 1, 0, -1, 0])]
+def walked(bars, stop, risk=0.95):
+    """Trades of one series by a plain walk: (signal bar, exit bar, reason). Rows: open, close,
+    enters, leaves; bars count from 1."""
+    out, held = [], None
+    for i, (_, close, enters, leaves) in enumerate(bars):
+        after = bars[i + 1][0] if i + 1 < len(bars) else None
+        if held:
+            stopped = close <= held[1] * (1 - stop)
+            if stopped or leaves:
+                out.append((held[0], i + 2 if after is not None else None,
+                            ("stop" if stopped else "cross") if after is not None else None))
+                held = None
+        elif enters and after is not None and risk * after <= close:
+            held = (i + 1, after)
+    return out + ([(held[0], None, None)] if held else [])
+
+
+@pytest.mark.parametrize("seconds", [None, 4])
+def test_entries_during_an_open_trade_are_ignored(spark, seconds):
+    rng = random.Random(9)
+    series = {}
+    for m in range(40):
+        p_in, p_out = rng.choice([(0.1, 0.1), (0.6, 0.05), (0.9, 0.0), (0.5, 0.5)])
+        price, rows = 10.0, []
+        for _ in range(rng.randint(1, 40)):
+            price *= 1 + rng.uniform(-0.06, 0.06)
+            rows.append((price, price * (1 + rng.uniform(-0.02, 0.02)), rng.random() < p_in, rng.random() < p_out))
+        series[f"m{m}"] = rows
+    frame = spark.createDataFrame([(m, i, *r) for m, rows in series.items() for i, r in enumerate(rows)],
+                                  "market_id string, timestamp long, open double, close double, "
+                                  "enters boolean, leaves boolean").repartition(3)
+    found = G.episodes(frame, F.col("enters"), F.col("leaves"), stop_loss=0.05, seconds=seconds).collect()
+    got = {m: [] for m in series}
+    for r in sorted(found, key=lambda r: r["episode_id"]):
+        got[r["market_id"]].append((r["entry_bar"] - 1, r["exit_bar"], r["exit_reason"]))
+        entered = [i for i, row in enumerate(series[r["market_id"]], 1) if row[2]]
+        assert entered[r["episode_id"] - 1] == r["entry_bar"] - 1
+    assert got == {m: walked(rows, 0.05) for m, rows in series.items()}
+    assert sum(len(t) for t in got.values()) > 60
+
+
+def test_null_flags_neither_enter_nor_leave(spark):
+    rows = [("m", i, 10.0, 10.0, c) for i, c in enumerate([0, 1, None, 1, 0, -1, 0])]
     signals = spark.createDataFrame(
         rows, "market_id string, timestamp long, open double, close double, cross int")
-    with pytest.raises(Exception, match="enters while a trade is open"):
-        G.episodes(signals).collect()
+    got = G.episodes(signals).collect()
+    assert [(r["episode_id"], r["entry_bar"], r["exit_bar"], r["exit_reason"]) for r in got] == [(1, 3, 7, "cross")]
 
 
 def test_idle_sets_and_runs_have_rows(spark):

@@ -38,6 +38,14 @@ def test_exact_and_forward_fill(spark):
     assert values(S.align_ffill(late, s)) == [None, "nan"]
 
 
+def test_the_clock_of_the_series_itself(spark):
+    """Without a clock, times are all that any series of the run has, those without a name too."""
+    s = frame(spark, [("r", "a", 1, 5.0), ("r", "b", 3, NAN), ("r", None, 7, 1.0), ("q", "a", 9, None), ("n", None, 1, 2.0)])
+    own, given = S.align_ffill(None, s), S.align_ffill(S.master_clock(s), s)
+    rows = [sorted(str((r["run_id"], r["series"], r["timestamp"], r["value"])) for r in df.collect()) for df in (own, given)]
+    assert rows[0] == rows[1] and len(rows[0]) == 7
+
+
 def test_forward_fill_equals_naive_over_many_chunks(spark):
     rng = random.Random(3)
     rows, times = [], {}

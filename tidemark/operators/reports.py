@@ -1,7 +1,8 @@
 """Backtest reports as tables, one result per run.
 
 ``curve`` comes from ``signals.equity_curve`` and ``trades`` from ``signals.equity``. Both hold
-bars or trades of bars, whose number per run is bounded by the calendar (see ``signals``).
+bars or trades of bars, whose number per run the calendar bounds (see ``signals``); for longer ones
+``seconds``, or ``size`` for trades, cuts running results into chunks.
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.chunks import chunk_of, count, highest, newest, scan, total
+
 KEYS = ("market_id",)
 _STREAKS = ("won_current", "won_longest", "lost_current", "lost_longest")
 
@@ -32,28 +35,28 @@ def annual_return(curve: DataFrame, cash: float = 10_000.0,
                          F.col("period_return").alias("annual_return"))
 
 
-def drawdown_curve(curve: DataFrame, column: str = "equity",
-                   keys: Sequence[str] = KEYS) -> DataFrame:
+def drawdown_curve(curve: DataFrame, column: str = "equity", keys: Sequence[str] = KEYS,
+                   seconds: int | None = None) -> DataFrame:
     """Distance from the running peak per bar: money, percent, and bars since the peak."""
-    w = Window.partitionBy(*keys).orderBy("timestamp")
-    upto = w.rowsBetween(Window.unboundedPreceding, 0)
     value = F.col(column)
-    return (
-        curve.withColumns({"peak": F.max(value).over(upto), "_bar": F.row_number().over(w)})
-        .withColumn("_peak_bar", F.max(F.when(value == F.col("peak"), F.col("_bar"))).over(upto))
-        .withColumns({
-            "length": F.col("_bar") - F.col("_peak_bar"),
-            "moneydown": F.col("peak") - value,
-            "drawdown": F.try_divide(F.col("peak") - value, F.col("peak")) * 100})
-        .drop("_bar", "_peak_bar")
-    )
-
-
-def drawdown(curve: DataFrame, column: str = "equity", keys: Sequence[str] = KEYS) -> DataFrame:
+    chunk = chunk_of("timestamp", seconds)
+    numbered = scan(curve, keys, {"_bar": count()}, chunk=chunk)
+    # the latest bar of the largest value so far
+    top = highest(F.when(value.isNotNull(), F.struct(value.alias("value"), F.col("_bar").alias("bar"))))
+    return scan(numbered, keys, {"_top": top}, chunk=chunk).withColumns({
+        "peak": F.col("_top.value"),
+        "length": F.col("_bar") - F.col("_top.bar"),
+        "moneydown": F.col("_top.value") - value,
+        "drawdown": F.try_divide(F.col("_top.value") - value, F.col("_top.value")) * 100,
+    }).drop("_bar", "_top")
+
+
+def drawdown(curve: DataFrame, column: str = "equity", keys: Sequence[str] = KEYS,
+             seconds: int | None = None) -> DataFrame:
     """Current and largest drawdown of each run."""
     fields = ["length", "moneydown", "drawdown"]
     now = F.max_by(F.struct(*fields), "timestamp").alias("now")
-    deep = drawdown_curve(curve, column, keys).groupBy(*keys).agg(
+    deep = drawdown_curve(curve, column, keys, seconds).groupBy(*keys).agg(
         now, *[F.max(f).alias(f"max_{f}") for f in fields])
     return deep.select(*keys, "now.*", *[f"max_{f}" for f in fields])
 
@@ -152,19 +155,19 @@ def for_all(runs: DataFrame | None, report: DataFrame, keys: Sequence[str],
     return runs.select(*keys).distinct().join(report, list(keys), "left").fillna(0, list(zeros))
 
 
-def streaks(trades: DataFrame, keys: Sequence[str] = KEYS, runs: DataFrame | None = None
-            ) -> DataFrame:
+def streaks(trades: DataFrame, keys: Sequence[str] = KEYS, runs: DataFrame | None = None,
+            size: int | None = None) -> DataFrame:
     """Current and longest run of won and of lost closed trades; a profit of zero counts as won.
 
-    ``runs`` lists the keys that get a row even without a closed trade.
+    ``runs`` lists the keys that get a row even without a closed trade; ``size`` is the number of
+    trades of a run that are ordered together, all of them by default.
     """
-    w = Window.partitionBy(*keys).orderBy("episode_id")
+    chunk, order = None if size is None else F.floor(F.col("episode_id") / size), ["episode_id"]
     closed = trades.filter(F.col("pnl").isNotNull()).withColumn("won", F.col("pnl") >= 0)
-    turned = F.coalesce(F.lag("won").over(w) != F.col("won"), F.lit(True)).cast("int")
+    turns = scan(closed, keys, {"_was": newest(F.col("won"), before=True)}, order, chunk)
+    turned = F.coalesce(F.col("_was") != F.col("won"), F.lit(True)).cast("int")
     islands = (
-        closed.withColumn("_turned", turned)
-        .withColumn("_island", F.sum("_turned").over(
-            w.rowsBetween(Window.unboundedPreceding, 0)))
+        scan(turns, keys, {"_island": total(turned)}, order, chunk)
         .groupBy(*keys, "won", "_island").agg(F.count(F.lit(1)).alias("n"))
     )
     last = F.max_by(F.struct("won", "n"), "_island").alias("last")

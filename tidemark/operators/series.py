@@ -38,18 +38,24 @@ def align_exact(clock: DataFrame, series: DataFrame) -> DataFrame:
     return _grid(clock, series).join(series.select(*key, "value"), key, "left")
 
 
-def align_ffill(clock: DataFrame, series: DataFrame) -> DataFrame:
-    """The newest value at or before each clock time, null before a series starts.
+def align_ffill(clock: DataFrame | None, series: DataFrame) -> DataFrame:
+    """The newest value at or before each clock time, null before a series starts. Without a
+    ``clock``, times are all those of any series of the run (``master_clock``).
 
     The value travels inside a struct, so that NaN is carried on while a missing row is not.
     All values of one time are gathered first and spread over the run's series after meeting the
-    clock, so that rows move by time once and by series and chunk once.
+    clock, so that rows move by time once and by series and chunk once. What a run's series are
+    follows from the gathered values too, which are shuffled once for both.
     """
     at = ["run_id", "timestamp"]
-    cells = series.filter(F.col("series").isNotNull()).groupBy(*at).agg(F.map_from_entries(
-        F.collect_list(F.struct("series", F.struct("value")))).alias("cells"))
-    names = series.groupBy("run_id").agg(F.collect_set("series").alias("names"))
-    slots = clock.select(*at, F.lit(1).alias("is_clock")).join(cells, at, "full")
+    own = F.collect_list(F.when(F.col("series").isNotNull(), F.struct("series", F.struct("value"))))
+    cells = series.groupBy(*at).agg(F.map_from_entries(own).alias("cells"))
+    names = cells.select("run_id", F.explode(F.map_keys("cells")).alias("name")).groupBy("run_id").agg(
+        F.collect_set("name").alias("names"))
+    if clock is None:
+        slots = cells.withColumn("is_clock", F.lit(1))
+    else:
+        slots = clock.select(*at, F.lit(1).alias("is_clock")).join(cells, at, "full")
     rows = slots.join(names, "run_id").select(
         *at, "is_clock", "cells", F.explode("names").alias("series")).select(
         *at, "is_clock", "series", F.col("cells")[F.col("series")].alias("v"))
