@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructType
 
@@ -12,24 +14,64 @@ from tidemark.operators.labelling import label_trades
 from tidemark.session import stage
 
 
+#: Columns of a trade that rows are looked up by.
+LOOKED_UP = ("market_id", "maker", "taker")
+
+
+def with_blooms(writer: DataFrameWriter, columns: Sequence[str]) -> DataFrameWriter:
+    """Let every row group say which values of ``columns`` it cannot hold."""
+    for column in columns:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+    return writer
+
+
 def write_trades(trades: DataFrame, path: str, mode: str = "append", unit: str = "day") -> None:
     """Trades by date, clustered by market and maker within a date.
 
     Ranges over (date, market, maker, id) give files of even size: a busy date or market is
-    split over many tasks, and statistics in the files let filters on market or maker skip.
+    split over many tasks. Statistics and Bloom filters in the files let a search for a market or a
+    wallet, on either side, skip what cannot hold it.
     """
     dated = trades.withColumn("date", day_of(F.col("timestamp"), unit))
     keys = ["date", "market_id", "maker", "id"]
-    (dated.repartitionByRange(*keys).sortWithinPartitions(*keys)
-     .write.mode(mode).partitionBy("date").parquet(path))
+    writer = dated.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode(mode)
+    with_blooms(writer, LOOKED_UP).partitionBy("date").parquet(path)
+
 
+def observed(rows: DataFrame, segments: Sequence[Column] = (), ts: str = "timestamp"
+             ) -> tuple[DataFrame, Observation]:
+    """``rows`` that count themselves as they are written or read, in the one pass of that action.
 
-def write_fills(fills: DataFrame, path: str, mode: str = "append", unit: str = "day") -> None:
-    """Raw fills by date of the event, in time order within a file."""
+    :func:`counts_of` gives the figures afterwards: of all rows, and of those of each segment.
+    """
+    parts = [F.lit(True), *segments]
+    seen = [f(F.when(part, F.col(ts))).alias(f"{name}{i}") for i, part in enumerate(parts)
+            for name, f in (("records", F.count), ("first", F.min), ("last", F.max))]
+    watch = Observation()
+    return rows.observe(watch, *seen), watch
+
+
+def counts_of(spark: SparkSession, watch: Observation) -> DataFrame:
+    """segment (-1: all rows), records, first_ts and last_ts of an :func:`observed` action."""
+    got = watch.get
+    rows = [(i - 1, got[f"records{i}"], got[f"first{i}"], got[f"last{i}"]) for i in range(len(got) // 3)]
+    return spark.createDataFrame(rows, "segment int, records long, first_ts long, last_ts long")
+
+
+def write_fills(fills: DataFrame, path: str, mode: str = "append", unit: str = "day",
+                segments: Sequence[Column] | None = None) -> Observation | None:
+    """Raw fills by date of the event, in time order within a file.
+
+    With ``segments`` (possibly none of them) the write counts what it writes, see
+    :func:`counts_of`; the counting sits behind the last shuffle, where every row passes once.
+    """
     dated = fills.withColumn("date", day_of(F.timestamp_seconds("timestamp"), unit))
     keys = ["date", "timestamp", "id"]
-    (dated.repartitionByRange(*keys).sortWithinPartitions(*keys)
-     .write.mode(mode).partitionBy("date").parquet(path))
+    ordered, watch = dated.repartitionByRange(*keys).sortWithinPartitions(*keys), None
+    if segments is not None:
+        ordered, watch = observed(ordered, segments)
+    ordered.write.mode(mode).partitionBy("date").parquet(path)
+    return watch
 
 
 def rewrite_repaired(spark: SparkSession, path: str, fills: DataFrame, markets: DataFrame) -> int:
