@@ -1,5 +1,7 @@
 """Streams against their batch results, in time order and out of it."""
 
+from datetime import datetime, timezone
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -176,3 +178,61 @@ def test_markets_listed_between_batches_are_found(spark, tmp_path):
     run()
     assert {(r["id"], r["market_id"]) for r in J.read_labelled(spark, out).collect()} == {
         ("a", None), ("b", "m1")}
+
+
+def test_bases_keep_the_number_of_files_small(spark, tiny, tmp_path):
+    """Files that a reader opens do not grow with the number of batches."""
+    ticks = V.ticks(spark, tiny).coalesce(1)
+    opened = {}
+    for every in (None, 3):
+        folder, out, cp = (str(tmp_path / f"{n}-{every}") for n in ("in", "out", "cp"))
+        counts = []
+        for part in range(10):
+            ticks.filter(F.col("id").cast("long") % 10 == part).write.mode("append").parquet(folder)
+            J.stream_ohlcv(J.stream_fills(spark, folder, 1, ticks.schema), out, cp, unit="year",
+                           compact_every=every).awaitTermination()
+            stored = sinks.read_batches(spark, f"{out}/bars", schemas.BARS, by_date=False)
+            counts.append(len(stored.inputFiles()))
+        assert same(J.read_ohlcv(spark, out), B.ohlcv(ticks))
+        opened[every] = counts
+    assert opened[None][-1] >= 10 and max(opened[3]) <= 5
+
+
+def test_a_repeat_after_a_base_changes_nothing(spark, tiny, tmp_path):
+    """The batch that wrote a base runs again, as after a crash before its commit."""
+    ticks = V.ticks(spark, tiny).coalesce(1)
+    folder, out, cp = (tmp_path / n for n in ("in", "out", "cp"))
+
+    def run():
+        J.stream_ohlcv(J.stream_fills(spark, str(folder), 1, ticks.schema), str(out), str(cp), unit="year",
+                       compact_every=2).awaitTermination()
+    for part in range(5):
+        ticks.filter(F.col("id").cast("long") % 5 == part).write.mode("append").parquet(str(folder))
+        run()
+    assert same(J.read_ohlcv(spark, str(out)), B.ohlcv(ticks))
+    for name in ("4", ".4.crc"):  # batch 4 merged those before it
+        (cp / "commits" / name).unlink(missing_ok=True)
+    run()
+    assert same(J.read_ohlcv(spark, str(out), ticks.schema), B.ohlcv(ticks))
+    assert sinks.read_batches(spark, f"{out}/trades", ticks.schema).count() == ticks.count()
+
+
+def test_bars_do_not_depend_on_what_came_first(spark, tmp_path):
+    schema = "market_id string, timestamp timestamp, id long, nonusdc_side string, price double, usd_amount double"
+
+    def tick(i, seconds, price):
+        return "m", datetime.fromtimestamp(seconds, tz=timezone.utc), i, "token1", price, 1.0
+
+    one = [tick(1, 0, 0.9), tick(2, 30, 0.4), tick(3, 60, 0.5)]
+    two = [tick(1, 0, 0.5), tick(2, 200_000, 0.4), tick(3, 60, 0.5), tick(4, 200_001, 0.7)]
+    found = []
+    for order, batches in enumerate(([one, two], [two, one])):
+        folder, out, cp = (str(tmp_path / f"{n}{order}") for n in ("in", "out", "cp"))
+        for rows in batches:
+            spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
+            J.stream_ohlcv(J.stream_fills(spark, folder, 1, spark.read.parquet(folder).schema), out,
+                           cp).awaitTermination()
+        bars = J.read_ohlcv(spark, out, spark.read.parquet(folder).schema)
+        found.append(sorted((int(r["timestamp"].timestamp()), r["open"], r["close"], r["volume"])
+                            for r in bars.collect()))
+    assert found[0] == found[1] == [(0, 0.5, 0.5, 3.0), (199_800, 0.7, 0.7, 1.0)]
