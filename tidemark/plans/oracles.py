@@ -242,6 +242,86 @@ VIEWS: dict[str, str] = {
               FROM (SELECT *, 10000::DOUBLE * product(coalesce(factor, 1)) OVER (
                       PARTITION BY market_id, fast, slow ORDER BY episode_id) AS cash_after
                     FROM fx_episodes_all) a) b""",
+    "fx_many_bars": """
+        SELECT DISTINCT market_id, ts - ts % 7200 AS timestamp, first_value(price) OVER w AS open,
+          last_value(price) OVER w AS close
+        FROM fx_ticks
+        WINDOW w AS (PARTITION BY market_id, ts - ts % 7200 ORDER BY ts, id
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)""",
+    "fx_many_units": """
+        SELECT *, sum(cu) OVER (PARTITION BY market_id ORDER BY n)::HUGEINT AS run
+        FROM (SELECT *, round(close * 1e12)::HUGEINT AS cu,
+                row_number() OVER (PARTITION BY market_id ORDER BY timestamp) AS n FROM fx_many_bars)""",
+    "fx_many_params": """
+        SELECT 3 + i % 40 AS fast, 50 + i // 40 * 2 AS slow,
+          CASE WHEN i % 2 = 1 THEN 0.02::DOUBLE ELSE 0.05::DOUBLE END AS stop_loss
+        FROM range(2000) r(i)""",
+    "fx_many_sums": """
+        SELECT u.market_id, u.n, p.k, u.run - coalesce(b.run, 0) AS total
+        FROM (SELECT DISTINCT fast AS k FROM fx_many_params UNION SELECT slow FROM fx_many_params) p
+        JOIN fx_many_units u ON u.n >= p.k
+        LEFT JOIN fx_many_units b ON b.market_id = u.market_id AND b.n = u.n - p.k""",
+    "fx_many_signs": """
+        SELECT *, lag(s) OVER (PARTITION BY market_id, fast, slow ORDER BY n) AS before
+        FROM (SELECT f.market_id, f.n, fast, slow, stop_loss, sign(f.total * slow - s.total * fast)::INT AS s
+              FROM fx_many_params p JOIN fx_many_sums f ON f.k = fast
+              JOIN fx_many_sums s ON s.k = slow AND s.market_id = f.market_id AND s.n = f.n)
+        WHERE s <> 0""",
+    "fx_many_turns": """
+        SELECT market_id, n, fast, slow, stop_loss, s FROM fx_many_signs WHERE before <> s""",
+    "fx_many_ups": """
+        SELECT t.*, u.close, b.open AS entry_price,
+          lead(t.n) OVER (PARTITION BY t.market_id, fast, slow ORDER BY t.n) AS turn_n, t.s AS up
+        FROM fx_many_turns t JOIN fx_many_units u USING (market_id, n)
+        LEFT JOIN fx_many_units b ON b.market_id = t.market_id AND b.n = t.n + 1""",
+    "fx_many_ends": """
+        SELECT u.market_id, u.fast, u.slow, u.n, min(b.n) AS stop_n
+        FROM fx_many_ups u JOIN fx_many_units b ON b.market_id = u.market_id AND b.n > u.n
+          AND b.n <= coalesce(u.turn_n, 1000000000)
+          AND b.close <= u.entry_price * (1::DOUBLE - u.stop_loss)
+        WHERE u.up = 1 GROUP BY ALL""",
+    "fx_many_trades": """
+        SELECT u.market_id, u.fast, u.slow, u.n,
+          1 + 0.95::DOUBLE / u.close * (z.open - u.entry_price) AS factor
+        FROM fx_many_ups u LEFT JOIN fx_many_ends e USING (market_id, fast, slow, n)
+        LEFT JOIN fx_many_units z
+          ON z.market_id = u.market_id AND z.n = coalesce(e.stop_n, u.turn_n) + 1
+        WHERE u.up = 1 AND 0.95::DOUBLE * u.entry_price <= u.close""",
+    "fx_walk_flags": """
+        SELECT market_id, n, timestamp, close,
+          lead(timestamp) OVER w AS next_ts, lead(open) OVER w AS next_open,
+          coalesce(close > average, false) AS enters, coalesce(close < average * 0.8::DOUBLE, false) AS leaves
+        FROM (SELECT *, CASE WHEN n >= 20 THEN (sum(cu) OVER (PARTITION BY market_id ORDER BY n
+                ROWS BETWEEN 19 PRECEDING AND CURRENT ROW))::DOUBLE / (20 * 1e12::DOUBLE) END AS average
+              FROM fx_units)
+        WINDOW w AS (PARTITION BY market_id ORDER BY n)""",
+    "fx_walk": """
+        SELECT DISTINCT market_id, 0::BIGINT AS n, NULL::BIGINT AS o, NULL::DOUBLE AS price,
+          NULL::BIGINT AS ended, NULL::VARCHAR AS reason FROM fx_walk_flags
+        UNION ALL
+        SELECT market_id, n,
+          CASE WHEN ended IS NULL AND o IS NOT NULL THEN o WHEN o IS NULL AND fits THEN n END,
+          CASE WHEN ended IS NULL AND o IS NOT NULL THEN price WHEN o IS NULL AND fits THEN next_open END,
+          ended, CASE WHEN ended IS NOT NULL THEN CASE WHEN stopped THEN 'stop' ELSE 'cross' END END
+        FROM (SELECT *, CASE WHEN o IS NOT NULL AND (stopped OR leaves) THEN o END AS ended
+              FROM (SELECT f.market_id, f.n, w.o, w.price, f.next_open, f.leaves,
+                      f.close <= w.price * (1::DOUBLE - 0.05) AS stopped,
+                      f.enters AND coalesce(0.95::DOUBLE * f.next_open <= f.close, false) AS fits
+                    FROM fx_walk w JOIN fx_walk_flags f ON f.market_id = w.market_id AND f.n = w.n + 1))""",
+    "fx_walked": """
+        SELECT market_id, ended AS o, n AS x, reason FROM fx_walk WHERE ended IS NOT NULL
+        UNION ALL
+        SELECT w.market_id, w.o, NULL, NULL FROM fx_walk w JOIN (
+          SELECT market_id, max(n) AS n FROM fx_walk GROUP BY market_id) l USING (market_id, n)
+        WHERE w.o IS NOT NULL""",
+    "fx_changed": """
+        SELECT market_id, ts, id, price, usd_amount
+        FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY market_id, ts, price, usd_amount) AS rn
+              FROM (SELECT * FROM fx_ticks
+                    UNION ALL SELECT market_id, ts, id, price * 0.5, usd_amount FROM fx_ticks WHERE id % 5 = 0
+                    UNION ALL SELECT market_id, ts - 259200, id, price, usd_amount FROM fx_ticks
+                      WHERE id % 7 = 0))
+        WHERE rn = 1""",
     "fx_runs": "SELECT DISTINCT market_id FROM fx_bars",
     "fx_grid": f"""
         SELECT market_id, CASE fast WHEN 10 THEN 0 WHEN 20 THEN 1 ELSE 2 END::BIGINT AS param_id,
@@ -744,13 +824,60 @@ RESULTS: dict[str, str] = {
         UNION ALL
         SELECT market_id, 3, 400, 1000000, 0.02::DOUBLE, 0, 0, 0.0::DOUBLE FROM fx_runs""",
     "stream_last_price": "SELECT * FROM fx_last",
+    "stream_last_price_compacted": "SELECT * FROM fx_last",
+    "param_grid_many": f"""
+        SELECT market_id, fast, slow, stop_loss, count(n) AS trades,
+          count(*) FILTER (factor > 1) AS won,
+          {even("coalesce(sum(ln(coalesce(factor, 1))) FILTER (n IS NOT NULL), 0)", 9)} AS log_growth
+        FROM (SELECT * FROM (SELECT DISTINCT market_id FROM fx_many_bars), fx_many_params) r
+        LEFT JOIN fx_many_trades USING (market_id, fast, slow) GROUP BY ALL""",
+    "episodes_reentry": f"""
+        SELECT s.market_id, s.episode_id, s.timestamp AS signal_ts, s.close AS signal_close,
+          s.next_ts AS entry_ts, s.next_open AS entry_price, s.n + 1 AS entry_bar,
+          CASE WHEN z.next_ts IS NOT NULL THEN z.timestamp END AS exit_signal_ts, z.next_ts AS exit_ts,
+          z.next_open AS exit_price, CASE WHEN z.next_ts IS NOT NULL THEN z.n + 1 END AS exit_bar,
+          CASE WHEN z.next_ts IS NOT NULL THEN reason END AS exit_reason,
+          {even("1 + 0.95::DOUBLE / s.close * (z.next_open - s.next_open)", 9)} AS factor
+        FROM fx_walked t
+        JOIN (SELECT *, count(*) FILTER (enters) OVER (PARTITION BY market_id ORDER BY n) AS episode_id
+              FROM fx_walk_flags) s ON s.market_id = t.market_id AND s.n = t.o
+        LEFT JOIN fx_walk_flags z ON z.market_id = t.market_id AND z.n = t.x""",
+    "resume_state": """
+        SELECT 'full page' AS state, 0::BIGINT AS last_timestamp, arg_max(id, (ts, id)) AS last_id,
+          max(ts) AS sticky_timestamp FROM fx_fills WHERE ts < 900000000
+        UNION ALL SELECT 'second complete', max(ts), NULL, NULL FROM fx_fills WHERE ts < 900000000
+        UNION ALL SELECT 'no cursor', max(ts) - 1, NULL, NULL FROM fx_fills
+        UNION ALL SELECT 'no data', 0, NULL, NULL""",
+    "resume_fills": f"""
+        SELECT {_FILL} FROM fx_fills
+        WHERE ts > (SELECT max(ts) FROM fx_fills WHERE ts < 900000000)""",
+    "ingest_observed": """
+        SELECT i::BIGINT AS segment, count(*) AS records, min(ts) AS first_ts, max(ts) AS last_ts
+        FROM fx_landed, (SELECT i, lo + i * ((hi - lo) // 5) AS a,
+          CASE WHEN i = 4 THEN hi ELSE lo + (i + 1) * ((hi - lo) // 5) END AS b
+          FROM fx_bounds, range(5) r(i)) s
+        WHERE ts > a AND ts <= b GROUP BY i
+        UNION ALL SELECT -1, count(*), min(ts), max(ts) FROM fx_landed""",
+    "incremental_by_id": "SELECT * FROM fx_out WHERE timestamp >= 900000000",
+    "stream_ohlcv_conflicting": """
+        SELECT DISTINCT market_id, ts - ts % 600 AS timestamp,
+          first_value(price) OVER w AS open, max(price) OVER w AS high, min(price) OVER w AS low,
+          last_value(price) OVER w AS close,
+          sum(round(usd_amount * 1e6)::BIGINT) OVER w ::BIGINT / 1e6 AS volume
+        FROM fx_changed
+        WINDOW w AS (PARTITION BY market_id, ts - ts % 600 ORDER BY ts, id
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)""",
 }
+for _name, _same in (("mark_stored", "high_water_mark"), ("safe_mark_stored", "safe_high_water_mark"),
+                     ("sma_chunks", "sma"), ("crossover_chunks", "crossover"), ("episodes_chunks", "episodes"),
+                     ("drawdown_chunks", "drawdown_of_close"), ("streaks_chunks", "streaks")):
+    RESULTS[_name] = RESULTS[_same]
 
 
-def _needed(sql: str, found: dict[str, None]) -> dict[str, None]:
+def _needed(sql: str, found: dict[str, None], within: tuple[str, ...] = ()) -> dict[str, None]:
     for name in re.findall(r"\bfx_\w+", sql):
-        if name not in found:
-            _needed(VIEWS[name], found)
+        if name not in found and name not in within:
+            _needed(VIEWS[name], found, (*within, name))
             found[name] = None
     return found
 
@@ -758,4 +885,4 @@ def _needed(sql: str, found: dict[str, None]) -> dict[str, None]:
 def oracle(name: str) -> str:
     body = RESULTS[name]
     views = ",\n".join(f"{v} AS ({VIEWS[v]})" for v in _needed(body, {}))
-    return f"WITH {views}\n{body}" if views else body
+    return f"WITH RECURSIVE {views}\n{body}" if views else body

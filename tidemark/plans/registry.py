@@ -23,11 +23,15 @@ from tidemark.plans import ranking, testviews as V
 from tidemark.plans.backtest import Backtest, moving_average_backtest
 from tidemark.schemas import FILLS
 from tidemark.session import configure, fresh_dir, stage
+from tidemark.sources.bounds import stored_high_water_mark, stored_safe_mark
+from tidemark.sources.commits import Folder
+from tidemark.sources.cursors import Cursor, load_cursor, save_cursor
+from tidemark.sources.ids import add_ids, new_rows
 from tidemark.sources.landed import (
     parse_events, parse_markets, read_pages, rejected_events, rejected_markets)
 from tidemark.sources.readers import (
     get_markets, read_fills, read_leaderboard, read_trades, rejected_fields)
-from tidemark.sources.writers import rewrite_repaired, write_fills, write_trades
+from tidemark.sources.writers import counts_of, rewrite_repaired, write_fills, write_trades
 from tidemark.streaming import jobs as J
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -513,14 +517,12 @@ def align_exact(spark, d):
 
 @query
 def align_ffill(spark, d):
-    s = V.series(spark, d)
-    return nan_flag(S.align_ffill(S.master_clock(s), s))
+    return nan_flag(S.align_ffill(None, V.series(spark, d)))
 
 
 @query
 def wide_series(spark, d):
-    s = V.series(spark, d)
-    wide = S.wide_series(S.align_ffill(S.master_clock(s), s), SERIES_NAMES)
+    wide = S.wide_series(S.align_ffill(None, V.series(spark, d)), SERIES_NAMES)
     return wide.withColumns({c: not_nan(F.col(c)) for c in SERIES_NAMES})
 
 
@@ -830,3 +832,147 @@ def param_grid_idle(spark, d):
     idle = [*GRID, {"fast": 400, "slow": 1_000_000, "stop_loss": 0.02}]
     grid = G.param_grid(bars(spark, d), idle, columns={"log_growth": log_growth()})
     return rounded(grid, log_growth=9).drop("final_cash")
+
+
+MANY = [{"fast": 3 + i % 40, "slow": 50 + i // 40 * 2, "stop_loss": 0.02 if i % 2 else 0.05}
+        for i in range(2000)]
+
+
+@query
+def param_grid_many(spark, d):
+    """2,000 parameter sets over two-hour bars, given as a table."""
+    sets = spark.createDataFrame([tuple(p.values()) for p in MANY], "fast int, slow int, stop_loss double")
+    hours = stage(B.ohlcv(V.ticks(spark, d), "2 hours"), "bars")
+    grid = G.param_grid(hours, sets.orderBy("slow", "fast"), columns={"log_growth": log_growth()})
+    return rounded(grid, log_growth=9).drop("final_cash", "param_id")
+
+
+@query
+def episodes_reentry(spark, d):
+    """A rule that would enter at most bars: entries count only while no trade is open."""
+    averages = G.sma(bars(spark, d), 20)
+    high, low = F.col("close") > F.col("sma_20"), F.col("close") < F.col("sma_20") * 0.8
+    found = G.episodes(averages, high, low, stop_loss=0.05).drop("risk")
+    return rounded(found, factor=9)
+
+
+DAY = 86_400
+
+
+def daily_chunks(spark, d) -> DataFrame:
+    """Crossings in chunks of a day."""
+    return G.crossover(bars(spark, d), seconds=DAY)
+
+
+@query
+def sma_chunks(spark, d):
+    return rounded(G.sma(bars(spark, d), 50, 200, seconds=DAY), sma_50=9, sma_200=9).select(
+        "market_id", "timestamp", "sma_50", "sma_200")
+
+
+@query
+def crossover_chunks(spark, d):
+    return daily_chunks(spark, d).select("market_id", "timestamp", "cross")
+
+
+@query
+def episodes_chunks(spark, d):
+    return rounded(G.episodes(daily_chunks(spark, d), seconds=DAY).drop("risk"), factor=9)
+
+
+@query
+def drawdown_chunks(spark, d):
+    return rounded(R.drawdown_curve(bars(spark, d), "close", seconds=DAY), drawdown=6, moneydown=6).select(
+        "market_id", "timestamp", "peak", "length", "moneydown", "drawdown")
+
+
+@query
+def streaks_chunks(spark, d):
+    made = backtest(spark, d)
+    return R.streaks(made.trades, runs=made.runs(), size=2)
+
+
+# --- resuming ----------------------------------------------------------------------------
+
+@query
+def resume_state(spark, d):
+    """The cursor after a full page, after the rest of its second, and what is left without one."""
+    log, rows = fresh_dir(spark, "cursor"), stage(fills(spark, d), "fills")
+    early = rows.filter(F.col("timestamp") < SPLIT_TS).select("timestamp", "id")
+    found = []
+    save_cursor(spark, log, Cursor().after(early, 1))
+    found.append(("full page", *load_cursor(spark, log, rows)))
+    save_cursor(spark, log, load_cursor(spark, log).after(early.limit(0), 1))
+    found.append(("second complete", *load_cursor(spark, log, rows)))
+    found.append(("no cursor", *load_cursor(spark, fresh_dir(spark, "none"), rows)))
+    found.append(("no data", *load_cursor(spark, fresh_dir(spark, "none"), rows.limit(0))))
+    return spark.createDataFrame(found, "state string, last_timestamp long, last_id string, "
+                                        "sticky_timestamp long")
+
+
+@query
+def resume_fills(spark, d):
+    """The fills still to come by a stored cursor whose newest entry is damaged."""
+    log, rows = fresh_dir(spark, "cursor"), stage(fills(spark, d), "fills")
+    early = rows.filter(F.col("timestamp") < SPLIT_TS)
+    save_cursor(spark, log, Cursor().after(early, 1 << 62))
+    Folder(spark, log).write(f"{7:020d}.json", '{"state": {"last_time')
+    return rows.filter(load_cursor(spark, log).wanted())
+
+
+@query
+def safe_mark_stored(spark, d):
+    """``safe_high_water_mark`` from the newest folders of stored fills."""
+    path = fresh_dir(spark, "fills")
+    write_fills(fills(spark, d), path, unit="month")
+    return stored_safe_mark(spark, path)
+
+
+@query
+def mark_stored(spark, d):
+    path = fresh_dir(spark, "fills")
+    write_fills(fills(spark, d), path, unit="month")
+    return stored_high_water_mark(spark, path)
+
+
+@query
+def ingest_observed(spark, d):
+    """Records and time range per segment, and of all, as the write itself counted them."""
+    path, landed = fresh_dir(spark, "fills"), V.landed_fills(spark, d)
+    segments = [FL.in_segment(b) for b in FL.segment_bounds(*time_bounds(landed), 5)]
+    return counts_of(spark, write_fills(landed, path, unit="year", segments=segments))
+
+
+@query
+def incremental_by_id(spark, d):
+    """Trades of the fills whose id the bucketed table of stored ids does not hold."""
+    path, rows = fresh_dir(spark, "ids"), fills(spark, d)
+    add_ids(rows.filter(F.col("timestamp") < SPLIT_TS), path, 8)
+    return L.label_trades(new_rows(rows, path, 8), markets(spark, d))
+
+
+@query
+def stream_ohlcv_conflicting(spark, d):
+    """Ticks land, then again with other prices or on another day: one row per id counts."""
+    out, check = fresh_dir(spark, "ohlcv"), fresh_dir(spark, "check")
+    ticks = V.ticks(spark, d)
+    path = land(ticks, "landed-ticks")
+    key = F.col("id").cast("long")
+    for change in (ticks.filter(key % 5 == 0).withColumn("price", F.col("price") * 0.5),
+                   ticks.filter(key % 7 == 0).withColumn(
+                       "timestamp", F.col("timestamp") - F.expr("INTERVAL 3 DAYS"))):
+        J.stream_ohlcv(landed_stream(spark, path, ticks.schema), out, check).awaitTermination()
+        land(change, "", path)
+    J.stream_ohlcv(landed_stream(spark, path, ticks.schema), out, check).awaitTermination()
+    return J.read_ohlcv(spark, out, ticks.schema)
+
+
+@query
+def stream_last_price_compacted(spark, d):
+    """One file per batch, every second batch merging what those before it stored."""
+    out, check = fresh_dir(spark, "last"), fresh_dir(spark, "check")
+    path = land(fills(spark, d), "fills")
+    stream = J.stream_fills(spark, path, files_per_batch=1)
+    labelled = L.label_trades(stream, stage(markets(spark, d), "markets"))
+    J.stream_last_price(labelled, out, check, compact_every=2).awaitTermination()
+    return J.read_last_price(spark, out)
