@@ -252,19 +252,17 @@ def merkle_manifest(docs: DataFrame, fields: tuple[str, ...] = FIELDS, id_col: s
                                 "digest")
     forest, height = with_depth(subroots)
     above = way_up(stage(forest, "subroots"), height, levels)
-    root = above[-1].select(F.col("digest").alias("root"), F.col("tree").alias("of_all"))
+    root = (above[-1].select("digest").head() or [None])[0]
     start = above[-1].select("tree", "pos", F.lit(b"").alias("path"))
     tops = way_down(above, start, 0, levels).select(F.col("pos").alias("tree"),
                                             F.lit(0).cast("long").alias("pos"), "path")
     paths = way_down(tiers, tops, 1, levels)
     folded = (_piece(rows, levels).groupBy("tree", "piece").cogroup(paths.groupBy("tree", "pos"))
               .applyInArrow(lambda table, above: _fold(table, above, levels), CHECKED))
-    ends = (above[0].select(F.col("pos").alias("of_tree"), F.col("tree").alias("all"),
-                            F.col("digest").alias("subroot"))
-            .join(root, F.col("all") == F.col("of_all")))
+    ends = above[0].select(F.col("pos").alias("of_tree"), F.col("digest").alias("subroot"))
     return folded.join(ends, F.col("tree") == F.col("of_tree")).select(
-        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root",
-        (F.col("folded_root") == F.col("root")).alias("verified"))
+        "doc_id", "leaf", "subroot", F.lit(root).cast("string").alias("root"), "proof_sha256",
+        "folded_root", (F.col("folded_root") == F.lit(root)).alias("verified"))
 
 
 def manifest_sql(levels: int = 6, source_levels: int = 3) -> str:
