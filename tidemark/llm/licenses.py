@@ -1,20 +1,30 @@
 """License notices in texts: winnowed fingerprints find candidates, banded alignment measures.
 
 Templates and texts are cut into words (ASCII letters and digits and all other characters beyond
-ASCII; A-Z as a-z). Of the hashes of
-consecutive ``GRAM`` words, winnowing keeps the smallest of each ``WINDOW`` neighbours, so a run
-of GRAM + WINDOW - 1 equal words shares a fingerprint. An inverted index of the templates'
-fingerprints (template, place) gives candidates: hits of one template on nearby diagonals, at
-least ``MIN_HITS`` of its fingerprints. Around the middle of each, a local alignment inside a band of diagonals scores equal words against
-missing, added and changed ones. Reported are templates of which at least ``min_coverage`` of the
-words are matched, with the matched spans.
-
-The templates are a parameter; their index goes to every task and is bounded by
-``MAX_TEMPLATE_WORDS``. Texts are read whole. A null text, or one without words, matches nothing.
+ASCII; A-Z as a-z). Of the hashes of consecutive ``GRAM`` words, winnowing keeps the smallest of
+each ``WINDOW`` neighbours, so a run of GRAM + WINDOW - 1 equal words shares a fingerprint. An
+inverted index of the templates' fingerprints (template, place) gives candidates: hits of one
+template on nearby diagonals. Templates of at most ``SHORT`` words are indexed, and looked up, by
+all of their grams: in them two equal words in a row always meet.
+
+A longer template needs one hit for every ``SPARSE`` of its words. Where a share of 0.8 of its words
+is left by changing or leaving out words, at least a fifteenth of them head runs that share a
+fingerprint, so that none of those is lost; what words put in between break up further may be.
+
+Around the middle of each candidate, a local alignment inside a band of diagonals scores equal words
+against missing, added and changed ones. Of occurrences whose spans overlap, the one with the most
+matched words, less missing ones and foreign ones in its span, is reported, so that a notice is not
+taken for its neighbour; then that with the smaller name.
+
+Templates are a parameter, by default the notices of ``license_notices.json``; their index goes to
+every task and is bounded by ``MAX_TEMPLATE_WORDS``. Texts are read whole. A null text, or one
+without words, matches nothing.
 """
 
 from __future__ import annotations
 
+import json
+import pkgutil
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -28,41 +38,17 @@ from tidemark.llm.words import hashed_words, mix
 
 GRAM = 2
 WINDOW = 3
+#: Words of a template that is indexed by all of its grams.
+SHORT = 24
+#: Words of a longer template per hit that a candidate must have.
+SPARSE = 15
 #: Diagonals to each side of a candidate's that the alignment may use.
 BAND = 8
 MIN_COVERAGE = 0.8
 MAX_TEMPLATE_WORDS = 200_000
-#: Share of a template's fingerprints that a candidate has, and always one.
-MIN_HITS = 0.2
-
-#: Notices as they are published, by licence.
-TEMPLATES = {
-    "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
-    "Apache-2.0-header": (
-        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this "
-        "file except in compliance with the License. You may obtain a copy of the License at "
-        "http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed "
-        "to in writing, software distributed under the License is distributed on an \"AS IS\" "
-        "BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."),
-    "MIT": "Released under the MIT License.",
-    "MIT-text": (
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
-        "software and associated documentation files (the \"Software\"), to deal in the Software "
-        "without restriction, including without limitation the rights to use, copy, modify, "
-        "merge, publish, distribute, sublicense, and/or sell copies of the Software"),
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "GPL-header": (
-        "This program is free software: you can redistribute it and/or modify it under the terms "
-        "of the GNU General Public License as published by the Free Software Foundation"),
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
-    "CC-BY-4.0": ("This work is licensed under a Creative Commons Attribution 4.0 International "
-                  "License."),
-    "BSD-text": (
-        "Redistribution and use in source and binary forms, with or without modification, are "
-        "permitted provided that the following conditions are met"),
-    "all-rights-reserved": "Copyright. All rights reserved. No part may be reproduced without "
-                           "written permission.",
-}
+
+#: Notices as they are published, by licence.
+TEMPLATES: dict[str, str] = json.loads(pkgutil.get_data(__package__, "license_notices.json"))
 
 MATCH_ROW = ("doc_id long, license string, coverage double, n_matched int, start int, end int, "
              "spans array<struct<start:int,end:int>>")
@@ -102,28 +88,37 @@ class TemplateIndex:
 
     def __init__(self, templates: dict[str, str]):
         self.words, self.least = {}, {}
-        postings = defaultdict(list)
+        postings, short = defaultdict(list), set()
         for name, text in templates.items():
             hashes = hashed_words(text.encode(), True, _GAP)[0]
             self.words[name] = hashes
             grams = gram_hashes(hashes)
-            kept = winnow(grams)
-            self.least[name] = max(1, int(np.ceil(MIN_HITS * len(kept))))
-            for at in kept:
+            whole = len(hashes) <= SHORT
+            self.least[name] = 1 if whole else len(hashes) // SPARSE
+            for at in range(len(grams)) if whole else winnow(grams):
                 postings[int(grams[at])].append((name, int(at)))
+                if whole:
+                    short.add(int(grams[at]))
         if sum(map(len, self.words.values())) > MAX_TEMPLATE_WORDS:
             raise ValueError(f"more than {MAX_TEMPLATE_WORDS} words of templates")
         self.postings = dict(postings)
         self.keys = np.array(sorted(self.postings), np.uint64)
+        self.short = np.array(sorted(short), np.uint64)
+        self.tall = {n for n, words in self.words.items() if len(words) > SHORT}
 
     def hits(self, hashes: np.ndarray) -> dict[str, list[tuple[int, int]]]:
-        """(place in the text, place in the template) of common fingerprints, by template."""
+        """(place in the text, place in the template) of common fingerprints, by template: of
+        all grams for short templates, of those that winnowing keeps for the others."""
         found = defaultdict(list)
         grams = gram_hashes(hashes)
-        at = winnow(grams)
-        for i in at[np.isin(grams[at], self.keys)]:
+        kept = winnow(grams)
+        known = np.isin(grams, self.short)
+        known[kept] |= np.isin(grams[kept], self.keys)
+        sparse = set(kept[known[kept]].tolist())
+        for i in np.flatnonzero(known).tolist():
             for name, place in self.postings[int(grams[i])]:
-                found[name].append((int(i), place))
+                if name not in self.tall or i in sparse:
+                    found[name].append((i, place))
         return found
 
 
@@ -132,43 +127,41 @@ def align(text: np.ndarray, template: np.ndarray, diagonal: int, low: int, high:
     """Best local alignment of ``template`` with ``text[low:high]`` on diagonals (text place
     less template place) within ``band`` of ``diagonal``: matched words, and the spans of text
     words that are matched one after the other. A match scores 2, any difference -1; of equal
-    alignments the one that ends nearest to ``diagonal`` counts."""
-    width = 2 * band + 1
-    rows = len(template)
-    score = np.zeros((rows + 1, width + 2), np.int32)
-    step = np.zeros((rows + 1, width + 2), np.int8)  # 1 both, 2 template only, 3 text only
-    best, best_at = 0, None
-    for i in range(1, rows + 1):
-        for k in range(1, width + 1):
-            j = i - 1 + diagonal + k - 1 - band
-            if not low <= j < high:
-                continue
-            same = text[j] == template[i - 1]
-            moves = ((score[i - 1, k] + (2 if same else -1), 1), (score[i - 1, k + 1] - 1, 2),
-                     (score[i, k - 1] - 1, 3))
-            value, move = max(moves, key=lambda m: m[0])
-            if value > 0:
-                score[i, k], step[i, k] = value, move
-                if value > best or (value == best and best_at and abs(k - 1 - band)
-                                    < abs(best_at[1] - 1 - band)):
-                    best, best_at = value, (i, k)
-    matched, places = 0, []
-    if best_at:
-        i, k = best_at
-        while step[i, k]:
-            move = step[i, k]
-            j = i - 1 + diagonal + k - 1 - band
-            if move == 1:
-                if text[j] == template[i - 1]:
+    alignments the one that ends nearest to ``diagonal``, and of these the first, counts.
+
+    The band is kept row by row, one row per template word; steps inside a row (words of the text
+    alone) are a running maximum.
+    """
+    width, rows = 2 * band + 1, len(template)
+    offset = np.arange(width)
+    places = offset[None, :] + np.arange(rows)[:, None] + diagonal - band
+    inside = (places >= low) & (places < high)
+    equal = np.zeros((rows, width), bool)
+    equal[inside] = np.repeat(template, width).reshape(rows, width)[inside] == text[places[inside]]
+    gain = np.where(equal, 2, -1)
+    score = np.zeros((rows + 1, width + 1), np.int64)
+    for i in range(rows):
+        row = np.maximum(score[i, :-1] + gain[i], score[i, 1:] - 1)
+        row = np.where(inside[i], np.maximum(row, 0), -1 << 40)
+        row = np.maximum.accumulate(row + offset) - offset
+        score[i + 1, :-1] = np.where(inside[i], np.maximum(row, 0), 0)
+    best = int(score.max())
+    matched, found = 0, []
+    if best > 0:
+        ends = np.argwhere(score == best)
+        i, k = min(ends.tolist(), key=lambda at: (abs(at[1] - band), at[0], at[1]))
+        while i and score[i, k] > 0:
+            if score[i, k] == score[i - 1, k] + gain[i - 1, k]:
+                if equal[i - 1, k]:
                     matched += 1
-                    places.append(int(j))
+                    found.append(int(places[i - 1, k]))
                 i -= 1
-            elif move == 2:
+            elif score[i, k] == score[i - 1, k + 1] - 1:
                 i, k = i - 1, k + 1
             else:
                 k -= 1
     spans: list[tuple[int, int]] = []
-    for j in reversed(places):
+    for j in reversed(found):
         if spans and spans[-1][1] == j:
             spans[-1] = (spans[-1][0], j + 1)
         else:
@@ -197,30 +190,41 @@ def candidates(hits: list[tuple[int, int]], length: int, least: int = 1, band: i
 
 def scan(text: str, index: TemplateIndex, min_coverage: float = MIN_COVERAGE) -> list[tuple]:
     """(license, coverage, matched words, first and end character, character spans) of every
-    occurrence, in text order; of overlapping ones of a template the best counts."""
-    raw, out = text.encode(), []
+    occurrence, in text order; of overlapping ones the best counts."""
+    raw, found = text.encode(), []
     hashes, first, last = hashed_words(raw, True, _GAP)
-
-    def chars(start: int, end: int) -> tuple[int, int]:
-        head = len(raw[:first[start]].decode())
-        return head, head + len(raw[first[start]:last[end - 1]].decode())
-
     for name, hits in index.hits(hashes).items():
-        template, found = index.words[name], []
+        template = index.words[name]
         for diagonal, low, high in set(candidates(hits, len(template), index.least[name])):
             matched, spans = align(hashes, template, diagonal, low, min(high, len(hashes)))
             coverage = matched / len(template)
-            if coverage >= min_coverage:
-                found.append((-matched, spans[0][0], spans[-1][1], coverage, spans))
-        used: list[tuple[int, int]] = []
-        for less, start, end, coverage, spans in sorted(found, key=lambda f: f[:3]):
-            if all(end <= a or start >= b for a, b in used):
-                used.append((start, end))
-                where = [chars(a, b) for a, b in spans]
-                out.append((name, coverage, -less, where[0][0], where[-1][1], where))
+            if spans and coverage >= min_coverage:
+                start, end = spans[0][0], spans[-1][1]
+                worth = matched - (len(template) - matched) - (end - start - matched)
+                found.append((-worth, -matched, name, start, end, coverage, spans))
+    used: list[tuple[int, int]] = []
+    out = []
+    for _, less, name, start, end, coverage, spans in sorted(found, key=lambda f: f[:5]):
+        if all(end <= a or start >= b for a, b in used):
+            used.append((start, end))
+            where = _characters(raw, [(first[a], last[b - 1]) for a, b in spans])
+            out.append((name, coverage, -less, where[0][0], where[-1][1], where))
     return sorted(out, key=lambda m: (m[3], m[0]))
 
 
+def _characters(raw: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Byte spans, in order, as character spans."""
+    out, at, chars = [], 0, 0
+    for span in spans:
+        ends = []
+        for end in span:
+            chars += len(raw[at:end].decode())
+            at = end
+            ends.append(chars)
+        out.append(tuple(ends))
+    return out
+
+
 def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES,
                   min_coverage: float = MIN_COVERAGE, id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
