@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from itertools import combinations
@@ -92,11 +93,23 @@ def water_fill(sizes, weights=(5, 2, 1), repeats=3):
         full |= {s: repeats * sizes[s] for s in above}
 
 
+def draws(spark, rows):
+    """The hash that fixes the place of each of the rows (doc_id, text, source) in its source."""
+    from pyspark.sql import functions as F
+    frame = spark.createDataFrame([(i, d, t or "") for i, (d, t, _) in enumerate(rows)],
+                                  "i long, doc_id long, text string")
+    alone = F.when(F.col("doc_id").isNull(), F.col("i"))
+    drawn = F.xxhash64("doc_id", F.xxhash64("text"), alone, F.lit("mix"))
+    return {r["i"]: r["d"] for r in frame.select("i", drawn.alias("d")).collect()}
+
+
 def mixed_words(rows, draws, slots_per_source, block_words):
     """{row number: words taken} of (doc_id, text, source) rows, slot by slot and word by word.
 
-    ``draws``: the hash of each row that, as an unsigned number, fixes its place among its
-    source's rows.
+    A source owes as many whole words as its target, in blocks of equal size of which the last
+    may be shorter; so many points of the grid are its own, next to those of the source before.
+    The slots of a grid of 2**m points come in van der Corput order, and each gives the next block of
+    the source that owns its point. The blocks of all sources must find a point.
     """
     size = [len(WORD.findall(t or "")) for _, t, _ in rows]
     sources = {}
@@ -106,9 +119,13 @@ def mixed_words(rows, draws, slots_per_source, block_words):
     goal = water_fill(sources)
     quota = {s: min(int(goal[s] + 0.5), 3 * sources[s]) for s in order}
     total = sum(quota.values())
-    wanted = max(slots_per_source * len(order), -(-total // block_words), 1)
-    bits = (wanted - 1).bit_length()
-    block = max(1, -(-total // (1 << bits)))
+    bits = 0
+    while 2 ** bits < max(slots_per_source * len(order), math.ceil(total / block_words) + len(order), 1):
+        bits += 1
+    block = 1
+    while sum(math.ceil(quota[s] / block) for s in order) > 2 ** bits or block * max(1, 2 ** bits - len(order)) < total:
+        block += 1
+    owner = [s for s in order for _ in range(math.ceil(quota[s] / block))]
     stream, at = {}, {}
     for s in order:
         own = sorted((i for i, r in enumerate(rows) if r[2] == s and size[i]),
@@ -117,13 +134,9 @@ def mixed_words(rows, draws, slots_per_source, block_words):
     taken = Counter()
     for slot in range(1 << bits):
         point = int(format(slot, f"0{bits}b")[::-1], 2) if bits else 0
-        word, low = point * block, 0
-        for s in order:
-            if low <= word < low + quota[s]:
-                for _ in range(block):
-                    if at[s] < quota[s]:
-                        taken[stream[s][at[s] % len(stream[s])]] += 1
-                        at[s] += 1
-                break
-            low += quota[s]
+        if point < len(owner):
+            s = owner[point]
+            for _ in range(min(block, quota[s] - at[s])):
+                taken[stream[s][at[s] % len(stream[s])]] += 1
+                at[s] += 1
     return size, goal, taken

@@ -1,30 +1,28 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 import llm_cases as C
 from tidemark.llm import mixing as M
 
 
-def draws(spark, rows):
-    ids = spark.createDataFrame([(i, r[0]) for i, r in enumerate(rows)], "i long, doc_id long")
-    return {r["i"]: r["d"] for r in
-            ids.select("i", F.xxhash64("doc_id", F.lit("mix")).alias("d")).collect()}
-
-
 def check(spark, rows, monkeypatch, slots=16, block=8, chunk=7):
     monkeypatch.setattr(M, "SLOTS_PER_SOURCE", slots)
     monkeypatch.setattr(M, "BLOCK_WORDS", block)
     monkeypatch.setattr(M, "CHUNK_ROWS", chunk)
-    size, goal, taken = C.mixed_words(rows, draws(spark, rows), slots, block)
-    docs = C.clashing(C.frame(spark, rows)).repartition(3)
-    got = M.taken_words(docs).collect()
-    brute = sorted(str((d, s, n, taken[i])) for i, ((d, _, s), n) in enumerate(zip(rows, size)))
-    assert sorted(str((r["doc_id"], r["source"], r["size"], r["taken"])) for r in got) == brute
+    size, goal, taken = C.mixed_words(rows, C.draws(spark, rows), slots, block)
+    docs = C.clashing(C.frame(spark, rows)).drop("row_id")
+    number = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "n long, doc_id long, text string, source string")
+    got = M.taken_rows(number.repartition(3), row_col="n").collect()
+    assert {r["row_id"]: (r["doc_id"], r["source"], r["size"], r["taken"]) for r in got} == {
+        i: (d, s, n, taken[i]) for i, ((d, _, s), n) in enumerate(zip(rows, size))}
     for r in got:
         assert r["target"] == pytest.approx(goal[r["source"]], rel=1e-9)
         assert r["taken"] <= 3 * r["size"]
+    plain = M.taken_words(docs.repartition(3))
+    assert plain.columns == ["doc_id", "size", "source_size", "target", "taken", "source"]
+    known = sorted(str((r["doc_id"], r["size"], r["taken"])) for r in got if r["doc_id"] is not None)
+    assert sorted(str((r["doc_id"], r["size"], r["taken"])) for r in plain.where("doc_id is not null").collect()) == known
     return got
 
 
@@ -86,5 +84,13 @@ def test_reruns_agree(spark, small):
     assert first == sorted(map(tuple, M.taken_words(docs.repartition(7)).collect()))
     by = {}
     for r in first:
-        by.setdefault(r[1], [0, r[4]])[0] += r[5]
+        by.setdefault(r[5], [0, r[3]])[0] += r[4]
     assert all(abs(taken - goal) <= 0.01 * goal for taken, goal in by.values())
+
+
+def test_rows_without_an_id_spread_over_chunks(spark):
+    """However many rows have no id, or share one, their places differ."""
+    rows = [(None if i % 2 else 7, f"w{i}", "a") for i in range(500)]
+    assert len(set(C.draws(spark, rows).values())) == 500
+    got = M.taken_words(C.frame(spark, rows)).collect()
+    assert len(got) == 500 and sum(r["taken"] for r in got) == 500

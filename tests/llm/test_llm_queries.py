@@ -4,7 +4,6 @@ import hashlib
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import compare
@@ -21,11 +20,11 @@ def test_matches_sql(spark, tiny, name):
     assert compare.difference(got, want) is None
 
 
-@pytest.mark.parametrize("name", list(QUERIES))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"op8_license_scan", "op11_lexical_search"}))
 def test_row_counts(spark, tiny, name):
     n = QUERIES[name](spark, tiny).count()
     table = "pages" if name == "op6_url_filter" else "documents"
-    assert n == spark.read.parquet(f"{tiny}/{table}.parquet").count() or name == "op8_license_scan"
+    assert n == spark.read.parquet(f"{tiny}/{table}.parquet").count()
 
 
 def brute_pipeline(spark, rows):
@@ -36,10 +35,7 @@ def brute_pipeline(spark, rows):
     rows = [r for r in rows if last[r[1]] == r[0]]
     component = C.near_components([(d, t) for d, t, _ in rows])
     rows = [r for r in rows if component[r[0]][1] == r[0]]
-    ids = spark.createDataFrame([(i, r[0]) for i, r in enumerate(rows)], "i long, doc_id long")
-    draws = {r["i"]: r["d"] for r in
-             ids.select("i", F.xxhash64("doc_id", F.lit("mix")).alias("d")).collect()}
-    size, _, taken = C.mixed_words(rows, draws, mixing.SLOTS_PER_SOURCE, mixing.BLOCK_WORDS)
+    size, _, taken = C.mixed_words(rows, C.draws(spark, rows), mixing.SLOTS_PER_SOURCE, mixing.BLOCK_WORDS)
     tokenizer, out = Tokenizer.from_file(WORD_BPE), []
     for i, (d, t, _) in enumerate(rows):
         ids = tokenizer.encode(t, add_special_tokens=False).ids

@@ -38,12 +38,14 @@ CHUNK_ROWS = 4096
 #: Grid points per cell of the join that finds a point's source.
 CELL_POINTS = 1024
 
-SIZE_ROW = "doc_id long, source string, size long, row_id long"
+SIZE_ROW = "doc_id long, source string, size long, row_id long, draw long"
 
 
 def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           source_col: str = "source", row_col: str | None = None) -> DataFrame:
-    """doc_id, source, the number of words and a row number (``row_col``, if given) of every row."""
+    """doc_id, source, the number of words, a row number (``row_col``, if given) and a draw of
+    every row, the hash that places it in its source: of id and text, without an id of the row
+    number too."""
     prepared(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -51,15 +53,17 @@ def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             sizes = [len(t.encode().split()) for t in batch.column("text").to_pylist()]
             yield pa.record_batch(
                 [batch.column("doc_id"), batch.column("source"), pa.array(sizes, pa.int64()),
-                 batch.column("row_id")],
-                names=["doc_id", "source", "size", "row_id"])
+                 batch.column("row_id"), batch.column("draw")],
+                names=["doc_id", "source", "size", "row_id", "draw"])
 
     row = F.col(f"`{row_col}`").cast("long") if row_col else F.monotonically_increasing_id()
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                        F.col(f"`{source_col}`").cast("string").alias("source"),
                        F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"),
                        row.alias("row_id"))
-    return rows.mapInArrow(run, SIZE_ROW)
+    alone = F.when(F.col("doc_id").isNull(), F.col("row_id"))
+    draw = F.xxhash64("doc_id", F.xxhash64("text"), alone, F.lit("mix"))
+    return rows.withColumn("draw", draw).mapInArrow(run, SIZE_ROW)
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS,
@@ -173,7 +177,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, id_col: str = "doc_
     names = sources.select(F.col("source").alias("of_source"), "source_no", "source_size",
                            "target", "quota")
     rows = sizes.join(names, sizes["source"].eqNullSafe(names["of_source"])).drop("of_source")
-    shuffled = rows.where("size > 0").withColumn("draw", F.xxhash64("doc_id", F.lit("mix")))
+    shuffled = rows.where("size > 0")
     placed = _starts(shuffled, F.col("source_no"), F.shiftrightunsigned("draw", 64 - bits),
                      ["draw", "doc_id", "size", "row_id"], "size", "start")
     epochs = F.ceil(F.col("quota") / F.col("source_size")).cast("int")
@@ -208,5 +212,6 @@ def taken_rows(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, id_col: str
 
 def taken_words(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, id_col: str = "doc_id",
                 text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """doc_id, source, size, source_size, target and taken of every row."""
-    return taken_rows(docs, weights, id_col, text_col, source_col).drop("row_id")
+    """doc_id, size, source_size, target, taken and source of every row."""
+    return taken_rows(docs, weights, id_col, text_col, source_col).select(
+        "doc_id", "size", "source_size", "target", "taken", "source")
