@@ -168,3 +168,14 @@ def test_short_texts_are_one_shingle():
     assert len(shingle_set(b"")) == len(shingle_set(b" \n")) == 0
     assert len(shingle_set(b"a b c d")) == 1 and shingle_set(b"A b") == shingle_set(b" a\x0bB ")
     assert shingle_set(b"a b") != shingle_set(b"a b c") and shingle_set(b"a b") != shingle_set(b"b a")
+
+
+def test_an_id_with_several_texts_is_one_document(spark):
+    """Everything that one text of an id is linked with is linked with all of them."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(3, a), (5, a), (5, b), (6, b), (9, c), (7, c + " more"), (7, a + " more"), (8, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {}
+    for r in N.near_duplicates(docs).collect():
+        got.setdefault(r["doc_id"], set()).add((r["component_id"], r["kept"]))
+    assert got == {3: {(3, True)}, **{d: {(3, False)} for d in (5, 6, 7, 9)}, 8: {(8, True)}}

@@ -1,7 +1,8 @@
 """Connected components of an edge table, by large-star and small-star steps in the cluster.
 
 Every step is two grouped minima and joins; its edges are written to the shared folder, which
-cuts lineage and outlives lost executors. The driver only sees one count and one sum per round.
+cuts lineage and outlives lost executors, and the edges of the step before are deleted. Steps end
+when the edges are stars around smallest vertices, which one grouping of the vertices tells.
 Hot vertices combine before the shuffle, and joins on them are split by adaptive execution.
 """
 
@@ -10,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import stage
+from tidemark.session import mark, stage_last
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -32,19 +33,20 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return new.where("u <> v").distinct()
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).head())
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every vertex is either a centre alone or has one edge, to a smaller centre."""
+    ends = F.inline(F.array(F.struct(F.col("u").alias("vertex"), F.lit(1).alias("out"), F.lit(0).alias("into")),
+                            F.struct(F.col("v").alias("vertex"), F.lit(0).alias("out"), F.lit(1).alias("into"))))
+    roles = edges.select(ends).groupBy("vertex").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+    return roles.where((F.col("out") > 1) | ((F.col("out") > 0) & (F.col("into") > 0))).isEmpty()
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """``vertex`` and ``component`` (the smallest vertex reachable) for every vertex of
     ``edges`` (u, v: long) that is not itself the smallest of its component."""
-    edges = stage(edges.where("u <> v").select(
-        F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-    before = _state(edges)
-    while True:
-        edges = stage(_star(_star(edges, True), False), "edges")
-        after = _state(edges)
-        if after == before:
-            return edges.select(F.col("u").alias("vertex"), F.col("v").alias("component"))
-        before = after
+    since = mark(edges.sparkSession)
+    edges = stage_last(edges.where("u <> v").select(
+        F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges", since)
+    while not _are_stars(edges):
+        edges = stage_last(_star(_star(edges, True), False), "edges", since)
+    return edges.select(F.col("u").alias("vertex"), F.col("v").alias("component"))

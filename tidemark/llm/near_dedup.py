@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.components import connected_components
 from tidemark.llm.tables import id_and_text, prepared
 from tidemark.llm.words import mix, shingle_set
-from tidemark.session import stage
+from tidemark.session import mark, stage, stage_last
 
 WIDTH = 5
 #: Least similarity of linked texts, in percent.
@@ -230,9 +230,20 @@ def merged(components: DataFrame, links: DataFrame) -> DataFrame:
     return connected_components(stars.unionByName(links))
 
 
+def ids_of_several_sets(signed: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (u, v) between a doc_id whose rows have different sets and the classes of these."""
+    lo, hi = (f(F.xxhash64("set_key")) for f in (F.min, F.max))
+    several = signed.groupBy(F.col("doc_id").alias("of")).agg(lo.alias("lo"), hi.alias("hi")).where("lo <> hi")
+    rows = signed.select("doc_id", "set_key").join(several, F.col("doc_id") == F.col("of"), "left_semi")
+    keys = classes.withColumnRenamed("set_key", "class_key")
+    return rows.join(keys, F.col("set_key") == F.col("class_key")).select(
+        F.col("doc_id").alias("u"), F.col("rep").alias("v")).where("u <> v").distinct()
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row."""
-    prepared(docs.sparkSession)
+    spark = prepared(docs.sparkSession)
+    since = mark(spark)
     texts = id_and_text(docs, id_col, text_col)
     signed = stage(texts.mapInArrow(_signatures, SIGNATURE_ROW), "signatures")
     usable = F.col("n_shingles").between(1, (1 << 62)) & F.col("doc_id").isNotNull()
@@ -259,14 +270,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     star = (buckets.where("rep <> centre")
             .select(F.col("centre").alias("u"), F.col("rep").alias("v"),
                     F.col("centre_size").alias("u_size"), F.col("size").alias("v_size")).distinct())
-    links = stage(confirmed(star, sets), "links")
+    links = confirmed(star, sets).unionByName(ids_of_several_sets(signed.where(usable), classes))
     joined = connected_components(links)
 
     labelled = buckets.join(joined, buckets["rep"] == joined["vertex"], "left").select(
         "bucket", "rep", "size", F.coalesce("component", "rep").alias("label"))
     members = stage(open_members(labelled), "open-members")
-    known = stage(rarest(members, sets), "rarest-shingles")
+    if not members.isEmpty():
+        joined = across_components(labelled, members, sets, joined)
+
+    components = joined.select(F.col("vertex").alias("member"), "component")
+    keys = classes.join(components, classes["rep"] == components["member"], "left").select(
+        F.col("set_key").alias("class_key"), F.coalesce("component", "rep").alias("class_component"))
+    rows = signed.select("doc_id", "n_shingles", "set_key")
+    found = rows.join(keys, (rows["set_key"] == keys["class_key"]) & usable, "left")
+    component = F.coalesce("class_component", "doc_id")
+    return stage_last(found.select("doc_id", "n_shingles", component.alias("component_id"),
+                                   F.col("doc_id").eqNullSafe(component).alias("kept")), "near-classes", since)
 
+
+def across_components(labelled: DataFrame, members: DataFrame, sets: DataFrame,
+                      joined: DataFrame) -> DataFrame:
+    """``joined`` with the links between members of one bucket that it leaves apart: first those
+    of each bucket's central member, then those of all pairs that may still be linked."""
+    known = stage(rarest(members, sets), "rarest-shingles")
     counted = known.select(F.col("rep").alias("known_rep"), "common")
     central = central_pairs(labelled.join(counted, labelled["rep"] == counted["known_rep"]))
     joined = merged(joined, stage(confirmed(central, sets), "central-links"))
@@ -274,12 +301,4 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     known = known.join(joined, known["rep"] == joined["vertex"], "left").select(
         "rep", "size", "common", "keys", F.coalesce("component", "rep").alias("label"))
     late = stage(confirmed(across(stage(known, "labelled-members")), sets), "late-links")
-    components = merged(joined, late).select(F.col("vertex").alias("member"), "component")
-
-    keys = classes.join(components, classes["rep"] == components["member"], "left").select(
-        F.col("set_key").alias("class_key"), F.coalesce("component", "rep").alias("class_component"))
-    rows = signed.select("doc_id", "n_shingles", "set_key")
-    found = rows.join(keys, (rows["set_key"] == keys["class_key"]) & usable, "left")
-    component = F.coalesce("class_component", "doc_id")
-    return found.select("doc_id", "n_shingles", component.alias("component_id"),
-                        F.col("doc_id").eqNullSafe(component).alias("kept"))
+    return merged(joined, late)

@@ -7,7 +7,7 @@ import weakref
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.session import configure, stage
@@ -31,7 +31,7 @@ def ship_package(spark: SparkSession) -> None:
     package = Path(__file__).resolve().parents[1]
     target = Path(tempfile.mkdtemp(prefix="tidemark-code-")) / f"{package.name}.zip"
     with zipfile.ZipFile(target, "w") as archive:
-        for file in sorted(package.rglob("*.py")):
+        for file in sorted([*package.rglob("*.py"), *package.rglob("*.json")]):
             archive.write(file, file.relative_to(package.parent))
     context.addPyFile(str(target))
     _shipped.add(context)
@@ -57,23 +57,29 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                        F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` with a written row number, column ``ROW``."""
-    return stage(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
-
-
-def keep_rows(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Rows of ``rows`` (see ``numbered``) whose number is in ``wanted`` (column ``wanted``), less
-    the number."""
-    return rows.join(wanted, rows[ROW] == wanted["wanted"], "left_semi").drop(ROW)
-
-
-def word_pattern() -> str:
-    return r"[^\x20\x09-\x0D]+"
-
-
-def null_safe(left: DataFrame, right: DataFrame, *names: str) -> Column:
-    condition = F.lit(True)
-    for name in names:
-        condition = condition & left[name].eqNullSafe(right[name])
-    return condition
+def identified(docs: DataFrame, id_col: str = "doc_id") -> tuple[DataFrame, bool]:
+    """``docs`` with column ``ROW``, a number that tells all rows apart, and whether that is the
+    id of every row.
+
+    A row that has its id alone keeps it as its number. Rows that share one, or have none, are
+    written out with numbers above all ids; where ids leave no room, all rows are.
+    """
+    own = F.col(f"`{id_col}`").cast("long")
+    shared = stage(docs.groupBy(own.alias("_shared")).agg(F.count("*").alias("_n"))
+                   .where((F.col("_n") > 1) | F.col("_shared").isNull()).select("_shared"), "shared-ids")
+    if shared.isEmpty():
+        return docs.withColumn(ROW, own), True
+    top = docs.agg(F.max(own)).head()[0] or 0
+    if top >= 1 << 61:
+        return stage(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered"), False
+    met = own.eqNullSafe(F.col("_shared"))
+    number = F.monotonically_increasing_id() + F.lit(max(top, 0) + 1)
+    odd = stage(docs.join(shared, met, "left_semi").withColumn(ROW, number), "numbered")
+    return docs.join(shared, met, "left_anti").withColumn(ROW, own).unionByName(odd), False
+
+
+def without(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """Rows of ``rows`` (see ``identified``) whose number is not in ``gone`` (column ``gone``), less
+    the number. The numbers are written out, so that their size is known before any text moves."""
+    gone = stage(gone, "gone")
+    return rows.join(gone, rows[ROW] == gone["gone"], "left_anti").drop(ROW)
