@@ -7,12 +7,12 @@ folder and reads them back for the next.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe_codec, exact_dedup, language, mixing, near_dedup
 from tidemark.llm.queries import WORD_BPE
-from tidemark.llm.tables import ROW, keep_rows, numbered, prepared, table
+from tidemark.llm.tables import ROW, identified, prepared, table, without
 from tidemark.session import stage
 
 
@@ -25,30 +25,40 @@ def with_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return language.accepted(docs, language.fit(docs), languages=LANGUAGES)
 
 
+def all_but(rows: DataFrame, groups: DataFrame, best: Column) -> DataFrame:
+    """Numbers (``gone``) of the members of ``groups`` (member, of) but the best of each, by the
+    ``best`` struct of doc_id and number that is smallest."""
+    members = rows.select(ROW, "doc_id").join(groups, F.col(ROW) == F.col("member")).select(
+        "member", "of", best.alias("best"))
+    firsts = members.groupBy(F.col("of").alias("group")).agg(F.min("best").alias("first"))
+    return members.join(firsts, F.col("of") == F.col("group")).where(
+        F.col("best") != F.col("first")).select(F.col("member").alias("gone"))
+
+
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the document with the largest id; of rows that share id and text too, or
     have no id, the first."""
     prepared(spark)
-    rows = numbered(docs)
-    digest = F.sha2(F.coalesce("text", F.lit("")), 256)
-    firsts = rows.groupBy("doc_id", digest.alias("_sha")).agg(F.min(ROW).alias("wanted"))
-    kept = exact_dedup.exact_duplicates(rows).where("kept").select(
-        F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_sha")).distinct()
-    return keep_rows(rows, firsts.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept_id"))
-                                       & (F.col("_sha") == F.col("_kept_sha"))))
+    rows, plain = identified(docs)
+    found = exact_dedup.exact_duplicates(rows, id_col=ROW).where("group_size > 1")
+    if plain:
+        return without(rows, found.where("not kept").select(F.col("doc_id").alias("gone")))
+    best = F.struct(F.col("doc_id").isNull().alias("none"), (-F.col("doc_id")).alias("id"), ROW)
+    groups = found.select(F.col("doc_id").alias("member"), F.col("keep_id").alias("of"))
+    return without(rows, all_but(rows, groups, best))
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every group of near copies, the document with the smallest id; of rows that share it,
     the first. Rows without an id come last, and are compared like all others."""
     prepared(spark)
-    rows = numbered(docs)
-    groups = near_dedup.near_duplicates(rows, id_col=ROW).select(
-        F.col("doc_id").alias("_member"), "component_id")
-    members = rows.select(ROW, "doc_id").join(groups, F.col(ROW) == F.col("_member"))
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.col(ROW).alias("row")))
-    return keep_rows(rows, members.groupBy("component_id").agg(first.alias("first"))
-                     .select(F.col("first.row").alias("wanted")))
+    rows, plain = identified(docs)
+    found = near_dedup.near_duplicates(rows, id_col=ROW)
+    if plain:
+        return without(rows, found.where("not kept").select(F.col("doc_id").alias("gone")))
+    best = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", ROW)
+    groups = found.select(F.col("doc_id").alias("member"), F.col("component_id").alias("of"))
+    return without(rows, all_but(rows, groups, best))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,7 +70,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     target that would leave no document keeps the one of which most is taken.
     """
     prepared(spark)
-    rows = numbered(docs)
+    rows, _ = identified(docs)
     taken = stage(mixing.taken_rows(rows, row_col=ROW).where("taken > 0").select(
         "row_id", "source", "taken",
         F.floor(F.col("taken") / F.col("size") + 0.5).cast("int").alias("_copies")), "taken")
