@@ -7,13 +7,15 @@ sum of margins and then to the smaller code. Families are a parameter; a languag
 table does not list is a family of its own.
 
 Machines are fitted on the driver from a sample of labelled rows that is bounded by
-``SAMPLE_ROWS``: rows are taken by the hash of their doc_id, evenly over languages. Predictions
-run over all rows in tasks. A null text, or one without a letter, gives ``und`` and score 0; so
-does every text where no row is labelled. Text is the only input of a prediction.
+``SAMPLE_ROWS``: equally many of every language, by the hash of id and text. Rows equal in both
+count once, whatever their number. A language is learned unless ``SAMPLE_ROWS`` others have more
+rows. Predictions run over all rows in tasks. A null text, or one without a letter, gives ``und``
+and score 0; so does every text where no row is labelled. Text is the only input of a prediction.
 """
 
 from __future__ import annotations
 
+import json
 import math
 import re
 from collections.abc import Collection, Iterator
@@ -22,7 +24,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.tables import prepared
@@ -30,6 +32,9 @@ from tidemark.llm.tables import prepared
 #: Rows that the machines are fitted on, at most, over all languages.
 SAMPLE_ROWS = 3000
 FEATURES = 1 << 12
+#: Machines that are fitted together.
+AT_ONCE = 256
+DRAWS = 1 << 30
 UNKNOWN = "und"
 
 #: ISO 639-1 codes by family.
@@ -88,20 +93,22 @@ def features(text: str) -> np.ndarray:
     return counts / max(float(np.linalg.norm(counts)), 1e-9)
 
 
-def fit_machine(x: np.ndarray, y: np.ndarray, penalty: float = 1e-3, steps: int = 200) -> np.ndarray:
-    """Weights and bias of a linear machine with squared hinge loss (labels -1 and 1), both
-    classes weighing the same, by accelerated gradient steps."""
+def fit_machines(x: np.ndarray, y: np.ndarray, penalty: float = 1e-3, steps: int = 200) -> np.ndarray:
+    """Weights and bias, one row per column of ``y`` (labels -1 and 1), of linear machines with
+    squared hinge loss, both classes weighing the same, by accelerated gradient steps."""
     x = np.concatenate([x, np.ones((len(x), 1), x.dtype)], axis=1)
-    share = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y < 0).sum(), 1))
-    share = share.astype(x.dtype)
-    w = ahead = np.zeros(x.shape[1], x.dtype)
+    y = y.astype(x.dtype)
+    positive = y > 0
+    share = np.where(positive, 0.5 / np.maximum(positive.sum(axis=0), 1),
+                     0.5 / np.maximum((~positive).sum(axis=0), 1)).astype(x.dtype)
+    w = ahead = np.zeros((x.shape[1], y.shape[1]), x.dtype)
     rate, t = 1 / (2 * 2 + penalty), 1.0
     for _ in range(steps):
         slack = np.maximum(0, 1 - y * (x @ ahead))
-        grad = -2 * ((share * y * slack) @ x) + penalty * ahead
+        grad = -2 * (x.T @ (share * y * slack)) + penalty * ahead
         new, t_new = ahead - rate * grad, (1 + math.sqrt(1 + 4 * t * t)) / 2
         ahead, w, t = new + (t - 1) / t_new * (new - w), new, t_new
-    return w
+    return w.T
 
 
 class LanguageModel:
@@ -112,15 +119,15 @@ class LanguageModel:
         self.members = {f: [c for c in self.langs if families.get(c, c) == f]
                         for f in self.families}
         y, z = np.array(of), np.array(langs)
-        self.family_weights = np.stack(
-            [fit_machine(x, np.where(y == f, 1, -1).astype(x.dtype)) for f in self.families]
-        ) if len(self.families) > 1 else None
+        self.family_weights = np.concatenate(
+            [fit_machines(x, np.where(y[:, None] == np.array(self.families[at:at + AT_ONCE]), 1, -1))
+             for at in range(0, len(self.families), AT_ONCE)]) if len(self.families) > 1 else None
         self.duels, rows = [], []
         for family in self.families:
             for a, b in combinations(self.members[family], 2):
                 pick = (z == a) | (z == b)
                 self.duels.append((family, a, b))
-                rows.append(fit_machine(x[pick], np.where(z[pick] == a, 1, -1).astype(x.dtype)))
+                rows.append(fit_machines(x[pick], np.where(z[pick] == a, 1, -1)[:, None])[0])
         self.duel_weights = np.stack(rows) if rows else None
 
     @staticmethod
@@ -164,20 +171,26 @@ def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
         rows: int = SAMPLE_ROWS, families: dict[str, str] = FAMILIES) -> LanguageModel | None:
     """Machines from a bounded sample of the labelled rows that are not held out."""
-    labelled = docs.where(~held_out(id_col) & F.col(f"`{lang_col}`").isNotNull()
-                          & F.col(f"`{text_col}`").isNotNull()).select(
-        F.col(f"`{lang_col}`").alias("lang"), F.col(f"`{text_col}`").alias("text"),
-        F.pmod(F.xxhash64(F.col(f"`{id_col}`"), F.lit(17)), F.lit(1 << 20)).alias("draw"))
-    counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count()
-              .orderBy(F.desc("count"), "lang").limit(rows).collect()}
+    prepared(docs.sparkSession)
+    text = F.col(f"`{text_col}`")
+    labelled = docs.where(~held_out(id_col) & F.col(f"`{lang_col}`").isNotNull() & text.isNotNull()).select(
+        F.col(f"`{lang_col}`").alias("lang"), text.alias("text"),
+        F.pmod(F.xxhash64(F.col(f"`{id_col}`"), text, F.lit(17)), F.lit(DRAWS)).alias("draw"))
+    counts = (labelled.groupBy("lang").agg(F.approx_count_distinct("draw").alias("n"), F.count("*").alias("rows"))
+              .orderBy(F.desc("rows"), "lang").limit(rows).collect())
     if not counts:
         return None
     each = max(1, rows // len(counts))
-    share = F.lit(0)
-    for lang, n in counts.items():
-        share = F.when(F.col("lang") == lang, F.lit(math.ceil(each / n * (1 << 20)))).otherwise(share)
-    sample = (labelled.where(F.col("draw") < share).select("lang", "text")
-              .mapInArrow(_feature_rows, "lang string, x binary").limit(2 * rows).collect())
+    # twice what is wanted, so that no language comes short; then exactly that many
+    shares = {r["lang"]: math.ceil(min(1.0, 2 * (each + 8) / max(r["n"], 1)) * DRAWS) for r in counts}
+    share = F.try_element_at(F.from_json(F.lit(json.dumps(shares)), "map<string,long>"), F.col("lang"))
+    drawn = (labelled.where(F.col("draw") < share)
+             .groupBy("lang", "draw").agg(F.min("text").alias("text")))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
+    sample = (drawn.withColumn("place", place).where(F.col("place") <= each).select("lang", "text")
+              .mapInArrow(_feature_rows, "lang string, x binary").collect())
+    if not sample:
+        return None
     sample = sorted((r["lang"], bytes(r["x"])) for r in sample)
     x = np.stack([np.frombuffer(v, np.float16) for _, v in sample]).astype(np.float32)
     return LanguageModel(x, [lang for lang, _ in sample], family_table(families))
