@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 
 from tidemark.llm.bpe_merge import ID_BITS, heap_merge, pair_table
 from tidemark.llm.tables import id_and_text, prepared
-from tidemark.llm.text_chunks import BYTE_LEVEL, CACHE_ENTRIES, LATIN, RecentCache
+from tidemark.llm.text_chunks import BYTE_LEVEL, LATIN, RecentCache
 
 #: The word pattern whose result on chunks of Latin letters, digits and plain punctuation
 #: ``_LATIN_WORDS`` gives as well.
@@ -34,7 +34,11 @@ _LATIN_CHUNK = re.compile(rf"[{LATIN}0-9!-&(-/:;=-@\[-`{{-~]+").fullmatch
 _LATIN_WORDS = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+").findall
 _NORMAL = ["NFC", "Replace", "Lowercase"]
 
-#: Longer fragments are merged with the heap: a scan takes the square of the length.
+#: Chunks that a worker remembers, and half as many words and fragments: about 100 MB, which stay
+#: beside whatever the same worker runs next.
+REMEMBERED = 300_000
+#: Fragments up to this length are merged by scans, longer ones, of which a scan would take the
+#: square of the length, with the heap. The result is the same.
 SCAN_SYMBOLS = 32
 _NONE = 1 << 62
 _FIRST, _SECOND = itemgetter(0), itemgetter(1)
@@ -98,9 +102,9 @@ class Codec:
         probe = self.pre_tokenize("a b")
         if [piece for piece, _ in probe] != ["a", "b"]:
             raise ValueError(f"{path}: its words may hold spaces")
-        self.fragments = RecentCache(self._encode_fragment, CACHE_ENTRIES // 4)
-        self.words = RecentCache(self._encode_word, CACHE_ENTRIES // 2)
-        self.chunks = RecentCache(self._encode_chunk)
+        self.fragments = RecentCache(self._encode_fragment, REMEMBERED // 2)
+        self.words = RecentCache(self._encode_word, REMEMBERED // 2)
+        self.chunks = RecentCache(self._encode_chunk, REMEMBERED)
 
     def _symbols(self, word: str) -> list[str]:
         return [*word[:-1], word[-1] + self.end]
