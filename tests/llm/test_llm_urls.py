@@ -32,20 +32,32 @@ def test_cases(spark):
     assert U.judge_urls(pages.limit(0)).count() == 0
 
 
-def test_model_learns_from_parts_of_names():
+def test_held_out_accuracy():
     """Each fifth example is left out in turn and judged by a model of the others."""
-    right = 0
+    import random
+    examples, right = list(U.EXAMPLES), 0
+    random.Random(0).shuffle(examples)
     for fold in range(5):
-        weights = U.fit([e for i, e in enumerate(U.EXAMPLES) if i % 5 != fold])
-        for url, label in U.EXAMPLES[fold::5]:
+        weights = U.fit([e for i, e in enumerate(examples) if i % 5 != fold])
+        for url, label in examples[fold::5]:
             at = U.url_features(*U.split_url(url))
             right += (weights[at].sum() / max(len(at), 1) ** 0.5 + weights[-1] > 0) == bool(label)
-    assert right / len(U.EXAMPLES) >= 0.7  # a name's parts may occur in one example only
+    assert len(examples) > 150 and right / len(examples) >= 0.75
 
 
-def test_known_kinds(spark, small):
+def test_long_and_repeated_urls(spark):
+    long = "http://a.example/" + "path/" * 40_000
+    rows = [(1, long), (1, long), (2, "x://" + "h" * 100_000), (2, None)]
+    got = U.judge_urls(spark.createDataFrame(rows, "page_id long, url string")).collect()
+    assert sorted((r["page_id"], len(r["host"])) for r in got) == [(1, 9), (1, 9), (2, 0), (2, 100_000)]
+    assert len({(r["verdict"], r["block_score"]) for r in got if r["page_id"] == 1}) == 1
+
+
+def test_kinds_of_given_pages(spark, small):
+    """Hosts that no example names: most of the bad kinds go, nearly all others stay."""
     got = U.judge_urls(spark.read.parquet(f"{small}/pages.parquet")).where("rule is null").collect()
-    bad = [r for r in got if "pills" in r["host"] or "spam-farm" in r["host"] or "ads-track" in r["host"]]
-    assert bad and all(r["verdict"] == "block" for r in bad)
+    bad = [r for r in got if "pills" in r["host"] or "spam-farm" in r["host"] or "ads-track" in r["host"]
+           or "free-bets" in r["host"] or "adult-x" in r["host"]]
     rest = [r for r in got if r not in bad]
+    assert sum(r["verdict"] == "block" for r in bad) >= 0.6 * len(bad) > 0
     assert sum(r["verdict"] == "allow" for r in rest) >= 0.97 * len(rest)

@@ -28,9 +28,10 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.k2_treap import Treap
 from tidemark.llm.tables import id_and_text, prepared
-from tidemark.llm.words import word_hashes_between
+from tidemark.llm.words import spans, word_hashes_between
 from tidemark.session import fresh_dir, stage
 
+#: A term in the words of a regular expression, for SQL.
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Documents and points of a tile, at most (a single document may have more points).
 TILE_DOCS = 4096
@@ -53,11 +54,18 @@ def term_hashes(text: str) -> np.ndarray:
     return word_hashes_between(text.encode(), _GAP)
 
 
+def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sizes = np.array([len(spans(np.frombuffer(t.encode(), np.uint8), _GAP)[0])
+                          for t in batch.column("text").to_pylist()], np.int64)
+        yield pa.record_batch([pa.array([int((sizes > 0).sum())]), pa.array([int(sizes.sum())])],
+                              names=["n", "l"])
+
+
 def statistics(docs: DataFrame) -> tuple[int, int]:
     """Documents with a term, and all their terms with repeats. ``docs``: doc_id, text."""
-    sizes = docs.select(F.regexp_count("text", F.lit(TERM)).alias("n"))
-    row = sizes.agg(F.count_if(F.col("n") > 0).alias("n"), F.sum(F.col("n").cast("long")).alias("l")).head()
-    return int(row["n"]), int(row["l"] or 0)
+    row = docs.select("text").mapInArrow(_sizes, "n long, l long").agg(F.sum("n"), F.sum("l")).head()
+    return int(row[0] or 0), int(row[1] or 0)
 
 
 def _tile(held: list[tuple]) -> dict:

@@ -7,6 +7,8 @@ A null URL, or one without ``://``, has an empty host and path; the model judges
 
 from __future__ import annotations
 
+import json
+import pkgutil
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,79 +22,15 @@ from tidemark.llm.tables import prepared
 RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"),
          ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
 MAX_RULES = 500
-MAX_EXAMPLES = 100_000
+MAX_EXAMPLES = 10_000
 FEATURES = 1 << 12
 GRAMS = (2, 3, 4)
 CUT = 0.5
 
-#: Labelled by hand: what a crawl blocks (advertising, spam, pills, betting, adult, trackers).
-BLOCKED = """
-http://cheap-pills.example/en/1
-https://www.cheap-meds-online.example/buy?now
-http://pills-4-less.example/de/12
-https://discount-viagra.example/order
-http://spam-farm.example/en/77
-http://www.spamlinks.example/page/3
-https://link-farm.example/directory/9
-http://seo-backlinks.example/list
-https://ads-track.example/click?id=4
-http://ads.tracker.example/pixel/1
-https://adserver.example/banner/300x250
-http://track.clicks.example/redirect
-https://best-casino-bonus.example/slots
-http://online-poker-win.example/play
-https://bet-big-now.example/odds
-http://free-slots-jackpot.example/spin
-https://hot-xxx-videos.example/watch
-http://adult-cams.example/live
-https://porn-tube.example/v/1
-http://sexy-dates.example/join
-https://free-download-crack.example/keygen
-http://warez-serial.example/dl
-https://get-rich-quick.example/offer
-http://easy-loans-fast.example/apply
-https://miracle-diet-pills.example/buy
-http://fake-watches-replica.example/shop
-https://click-here-win.example/prize
-http://free-iphone-winner.example/claim
-https://popunder-ads.example/go
-http://spam-blog-farm.example/post/5
-"""
-
-ALLOWED = """
-https://www.therha.example/en/676
-http://blog.tionsh.example/es/533/
-https://news.thehill.example/en/world/2024
-http://www.river-museum.example/visit
-https://university.example/research/papers
-http://library.cityname.example/catalog
-https://www.garden-notes.example/en/roses
-http://docs.software.example/guide/install
-https://en.wiki.example/wiki/History
-http://www.weather-report.example/today
-https://science-daily.example/article/12
-http://blog.ththan.example/en/625.html
-https://www.cooking-at-home.example/recipes/soup
-http://school.example/lessons/maths
-https://www.health-service.example/advice
-http://m.ththth.example/fr/604
-https://forum.cyclists.example/thread/88
-http://www.city-council.example/minutes
-https://journal.medicine.example/vol/3
-http://archive.letters.example/1901
-https://www.ththen.example/en/923
-http://thther.example/en/238
-https://maps.example/route
-http://www.orchestra.example/concerts
-https://football-club.example/fixtures
-http://blog.travel-diary.example/peru
-https://www.bookshop.example/new
-http://painters.example/gallery/4
-https://m.ththnd.example/de/945
-http://ontions.example/en/414
-"""
-
-EXAMPLES = ([(url, 1) for url in BLOCKED.split()] + [(url, 0) for url in ALLOWED.split()])
+#: URLs of a small table, labelled by hand as a crawl would: block advertising, trackers, link spam,
+#: pills, betting, adult pages, pirated files and fraud.
+_TABLE = json.loads(pkgutil.get_data(__package__, "url_examples.json"))
+EXAMPLES = [(url, int(verdict == "block")) for verdict in ("block", "allow") for url in _TABLE[verdict]]
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
