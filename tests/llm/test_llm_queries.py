@@ -36,13 +36,17 @@ def brute_pipeline(spark, rows):
     component = C.near_components([(d, t) for d, t, _ in rows])
     rows = [r for r in rows if component[r[0]][1] == r[0]]
     size, _, taken = C.mixed_words(rows, C.draws(spark, rows), mixing.SLOTS_PER_SOURCE, mixing.BLOCK_WORDS)
+    copies = [int(taken[i] / size[i] + 0.5) if size[i] else 0 for i in range(len(rows))]
+    for source in {r[2] for r in rows}:  # one document stays of each source that gives words
+        own = [i for i, r in enumerate(rows) if r[2] == source]
+        if not any(copies[i] for i in own) and any(taken[i] for i in own):
+            copies[max(own, key=lambda i: (taken[i], -rows[i][0]))] = 1
     tokenizer, out = Tokenizer.from_file(WORD_BPE), []
     for i, (d, t, _) in enumerate(rows):
         ids = tokenizer.encode(t, add_special_tokens=False).ids
         text = tokenizer.decode(ids, skip_special_tokens=False)
-        copies = int(taken[i] / size[i] + 0.5) if size[i] else 0
         out += [(d, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(),
-                 hashlib.sha256(text.encode()).hexdigest())] * copies
+                 hashlib.sha256(text.encode()).hexdigest())] * copies[i]
     return sorted(out)
 
 

@@ -34,9 +34,10 @@ _LATIN_CHUNK = re.compile(rf"[{LATIN}0-9!-&(-/:;=-@\[-`{{-~]+").fullmatch
 _LATIN_WORDS = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+").findall
 _NORMAL = ["NFC", "Replace", "Lowercase"]
 
-#: Chunks that a worker remembers, and half as many words and fragments: about 100 MB, which stay
-#: beside whatever the same worker runs next.
-REMEMBERED = 300_000
+#: Chunks that a worker remembers, half as many words and a quarter as many
+#: fragments: about 200 MB, which stay
+#: beside whatever the same worker runs next. Results are the same for any number.
+REMEMBERED = 600_000
 #: Fragments up to this length are merged by scans, longer ones, of which a scan would take the
 #: square of the length, with the heap. The result is the same.
 SCAN_SYMBOLS = 32
@@ -68,7 +69,7 @@ def scan_merge(symbols: list[int], pairs: dict[int, int]) -> list[int]:
 class Codec:
     """Encoder and decoder for a byte-pair file with word ends and dropped white space."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as file:
@@ -102,9 +103,9 @@ class Codec:
         probe = self.pre_tokenize("a b")
         if [piece for piece, _ in probe] != ["a", "b"]:
             raise ValueError(f"{path}: its words may hold spaces")
-        self.fragments = RecentCache(self._encode_fragment, REMEMBERED // 2)
-        self.words = RecentCache(self._encode_word, REMEMBERED // 2)
-        self.chunks = RecentCache(self._encode_chunk, REMEMBERED)
+        self.fragments = RecentCache(self._encode_fragment, remembered // 4)
+        self.words = RecentCache(self._encode_word, remembered // 2)
+        self.chunks = RecentCache(self._encode_chunk, remembered)
 
     def _symbols(self, word: str) -> list[str]:
         return [*word[:-1], word[-1] + self.end]
@@ -171,17 +172,18 @@ class Codec:
 
 
 @lru_cache(maxsize=2)
-def codec(path: str) -> Codec:
-    return Codec(path)
+def codec(path: str, remembered: int = REMEMBERED) -> Codec:
+    return Codec(path, remembered)
 
 
 def encode_and_decode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id",
-                      text_col: str = "text") -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every row."""
+                      text_col: str = "text", remembered: int = REMEMBERED) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every row; ``remembered`` bounds the
+    memory of a worker."""
     prepared(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digests = codec(tokenizer).digests
+        digests = codec(tokenizer, remembered).digests
         for batch in batches:
             done = [digests(t) for t in batch.column("text").to_pylist()]
             counts, ids, decoded = zip(*done) if done else ((), (), ())
