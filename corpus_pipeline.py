@@ -16,6 +16,9 @@ from tidemark.llm.tables import ROW, identified, prepared, table, without
 from tidemark.session import stage
 
 
+#: Chunks of text that a worker of the last stage remembers: half of what op9_bpe_codec takes, as
+#: workers go on to other stages with it.
+REMEMBERED = 300_000
 #: Languages whose documents stay, as predicted; None keeps every language.
 LANGUAGES: frozenset[str] | None = None
 
@@ -86,7 +89,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token count and digests of ids and decoded text of every document of the mix."""
-    return bpe_codec.encode_and_decode(docs, WORD_BPE)
+    return bpe_codec.encode_and_decode(docs, WORD_BPE, remembered=REMEMBERED)
 
 
 STAGES = [
