@@ -236,3 +236,108 @@ def test_bars_do_not_depend_on_what_came_first(spark, tmp_path):
         found.append(sorted((int(r["timestamp"].timestamp()), r["open"], r["close"], r["volume"])
                             for r in bars.collect()))
     assert found[0] == found[1] == [(0, 0.5, 0.5, 3.0), (199_800, 0.7, 0.7, 1.0)]
+
+
+def stored_fills(spark, path, batch_id, *rows):
+    made = spark.createDataFrame(list(rows), FILL).coalesce(1).withColumn(
+        "date", F.trunc(F.timestamp_seconds("timestamp").cast("date"), "year"))
+    sinks.write_batch(made, path, batch_id)
+    return made
+
+
+def test_a_batch_reads_only_the_times_it_touches(spark, tmp_path):
+    """Of the stored rows of a date folder, those at other times are filtered in the scan."""
+    day, path = 86_400, str(tmp_path / "out")
+    for i in range(6):
+        stored_fills(spark, path, i, fill(f"i{i}", i * day + 5))
+    batch = stored_fills(spark, str(tmp_path / "new"), 0, fill("x", 5), fill("i5", 5 * day + 5))
+    stored = sinks.read_batches(spark, path, schemas.FILLS)
+    times = sinks.on_times(batch, "timestamp")
+    assert sorted(r["id"] for r in stored.filter(times).collect()) == ["i0", "i5"]
+    assert [r["id"] for r in sinks.unseen(batch, stored, "id", where=times).collect()] == ["x"]
+    plan = stored.filter(times)._jdf.queryExecution().executedPlan().toString()
+    assert "LessThanOrEqual(timestamp" in plan.split("PushedFilters")[1]
+    # more stretches than one filter takes: the nearest are read as one, none is left out
+    many = [fill(f"m{i}", i * i * day) for i in range(2 * sinks.SPANS)]
+    rows = stored_fills(spark, str(tmp_path / "many"), 0, *many)
+    assert rows.filter(sinks.on_times(rows, "timestamp")).count() == len(many)
+    none = stored_fills(spark, str(tmp_path / "none"), 0, fill("n", None))
+    assert stored.filter(sinks.on_times(none, "timestamp")).isEmpty()
+
+
+def test_a_row_is_merged_a_few_times_only(spark, tmp_path):
+    """Bases grow by doubling: what was merged long ago is not written again by every merge."""
+    path, written = str(tmp_path / "out"), 0
+    for i in range(40):
+        stored_fills(spark, path, i, *[fill(f"{i}-{j}", j) for j in range(3)])
+        if sinks.compact(spark, path, schemas.FILLS, i, order=["timestamp"]):
+            state = next(sinks.committed(spark, f"{path}/_log"))
+            written += 3 * state["bases"][-1]["batches"]
+            assert len(state["bases"]) <= 6
+    rows = sinks.read_batches(spark, path, schemas.FILLS)
+    assert rows.count() == rows.distinct().count() == 120
+    assert written <= 120 * 6  # one base takes 2,340
+
+
+def test_last_price_keeps_no_state(spark, tmp_path):
+    """Late trades, ties in a second and merged folders give the batch result, without a state."""
+    folder, out, cp = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    kinds = "market_id string, nonusdc_side string, timestamp timestamp, id string, price double"
+
+    def trade(market, side, seconds, ident, price):
+        return market, side, datetime.fromtimestamp(seconds, tz=timezone.utc), ident, price
+    batches = [[trade("m", "token1", 50, "b", 0.5), trade(None, None, 9, "x", 0.3)],
+               [trade("m", "token1", 50, "a", 0.4), trade("m", "token2", 5, "c", 0.6)],
+               [trade("m", "token1", 10, "z", 0.1), trade("m", "token2", 7, "d", 0.99)],
+               [trade(None, None, 8, "y", 0.2)]]
+    for rows in batches:
+        spark.createDataFrame(rows, kinds).coalesce(1).write.mode("append").parquet(folder)
+        stream = J.stream_fills(spark, folder, 1, spark.read.parquet(folder).schema)
+        J.stream_last_price(stream, out, cp, compact_every=2).awaitTermination()
+    got = {tuple(r) for r in J.read_last_price(spark, out).collect()}
+    assert got == {("m", "token1", 0.5), ("m", "token2", 1.0), (None, None, 0.3)}
+    assert not (tmp_path / "cp" / "state").exists()
+
+
+def test_the_token_map_is_made_once_per_market_table(spark, tmp_path, monkeypatch):
+    from tidemark.sources import readers
+    made = []
+    monkeypatch.setattr(J, "stage_tokens", lambda known: made.append(1) or L.one_market_per_token(known))
+    listed, folder, out, cp = (str(tmp_path / n) for n in ("markets", "in", "out", "cp"))
+
+    def list_market(name, token):
+        row = [None] * 13
+        row[1], row[7], row[8] = name, token, f"{token}x"
+        spark.createDataFrame([tuple(row)], schemas.MARKETS).write.mode("append").parquet(listed)
+    known = readers.while_unchanged(spark, lambda: readers.get_markets(spark, listed), listed)
+    list_market("m0", "70")
+    assert known() is known()
+    for i in range(6):
+        if i == 3:
+            list_market("m1", "71")
+        spark.createDataFrame([fill(f"f{i}", 100)], FILL).coalesce(1).write.mode("append").parquet(folder)
+        if i != 4:  # the next run finds two files and takes a batch for each
+            J.stream_label_trades(J.stream_fills(spark, folder, 1), known, out, cp).awaitTermination()
+    labels = {r["id"]: r["market_id"] for r in J.read_labelled(spark, out).collect()}
+    assert labels == {**{f"f{i}": None for i in range(3)}, **{f"f{i}": "m1" for i in range(3, 6)}}
+    assert made == [1]
+
+
+def test_staged_tokens_do_not_move(spark, tiny):
+    from tidemark.sources.tokens import stage_tokens
+    fills, markets = registry.fills(spark, tiny), registry.markets(spark, tiny)
+    tokens = stage_tokens(markets)
+    assert same(tokens, L.one_market_per_token(markets))
+    assert same(L.label_trades(fills, None, tokens), L.label_trades(fills, markets))
+    limits = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    before = {k: spark.conf.get(k) for k in limits}
+    try:
+        for k in limits:
+            spark.conf.set(k, "-1")
+        plan = L.label_trades(V.landed_fills(spark, tiny), None, tokens)._jdf.queryExecution(
+            ).executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len([x for x in plan.splitlines() if "hashpartitioning(asset_id" in x]) == 0
+    assert "hashpartitioning(nonusdc_asset_id" in plan
