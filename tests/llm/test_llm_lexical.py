@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow.parquet as pq
 
 import llm_cases as C
 from tidemark.llm import lexical_search as S
@@ -70,6 +71,17 @@ def test_tiles_by_points_and_items_by_blocks(spark, monkeypatch):
     assert search(spark, docs, items, 5) == brute(docs, items, 5)
 
 
+def test_a_file_holds_each_tile_by_itself(spark, monkeypatch):
+    """Writers and readers hold a row group at once: one tile, whatever a task makes."""
+    monkeypatch.setattr(S, "TILE_DOCS", 10)
+    docs, items = corpus(120, 5)
+    rows = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    index, _ = S.build_index(rows)
+    files = [pq.ParquetFile(f.removeprefix("file://")) for f in index.inputFiles()]
+    groups = [f.metadata.row_group(i) for f in files for i in range(f.metadata.num_row_groups)]
+    assert len(groups) > 5 and {g.num_rows for g in groups} == {1}
+
+
 def test_odd_rows_ties_and_copies(spark):
     docs = [(d, t) for d, t, _ in C.ODD] + [(100 - i, "Tie tie breaks") for i in range(30)] + [
         (None, "tie"), (None, "tie"), (50, "tie breaks breaks")]

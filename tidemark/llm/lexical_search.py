@@ -6,7 +6,8 @@ length against all documents'; an item's score for a document sums impact times
 
 The index is a table in the shared folder with one row per tile: up to ``TILE_DOCS`` documents,
 or ``TILE_POINTS`` (document, term) points, that follow each other in one task, so that building
-it shuffles nothing. A search runs the items over every tile by blocks of ``BLOCK_TERMS`` item
+it shuffles nothing. Tasks hand tiles over compressed and files keep a row group for each, so that
+neither a writer nor a reader holds more than one, whatever the number of tiles. A search runs the items over every tile by blocks of ``BLOCK_TERMS`` item
 terms. A task carries each item's best documents from tile to tile and returns these alone, from
 which the best of all tasks follow in two steps.
 
@@ -47,6 +48,9 @@ _GAP[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0
 _ARRAYS = {"terms": np.int64, "row_of": np.int32, "frequency": np.int32, "steps": np.int32}
 TILE = ("doc_ids array<long>, bits int, cells array<int>, masks binary, "
         + ", ".join(f"{name} binary" for name in _ARRAYS))
+#: Else Parquet's writer looks at the size of a page or a row group after 100 rows first.
+TILE_FILES = {"compression": "uncompressed", "parquet.block.row.count.limit": "1",
+              "parquet.page.size.row.check.min": "1", "parquet.enable.dictionary": "false"}
 FOUND = "item_id long, doc_id long, score long"
 
 
@@ -68,6 +72,17 @@ def statistics(docs: DataFrame) -> tuple[int, int]:
     return int(row[0] or 0), int(row[1] or 0)
 
 
+def _packed(values: bytes) -> bytes:
+    """The number of bytes and then the bytes, compressed."""
+    return len(values).to_bytes(8, "little") + pa.compress(values, "zstd", asbytes=True)
+
+
+def _unpacked(cell: pa.BinaryScalar) -> pa.Buffer:
+    stored = cell.as_buffer()
+    size = int.from_bytes(stored.slice(0, 8).to_pybytes(), "little")
+    return pa.decompress(stored.slice(8), size, "zstd")
+
+
 def _tile(held: list[tuple]) -> dict:
     """Columns of one tile from (doc_id, length factor, terms, occurrences), shortest first."""
     held = sorted(held, key=lambda d: d[1])
@@ -79,7 +94,8 @@ def _tile(held: list[tuple]) -> dict:
     impacts = 1_000_000_000 * times // (1000 * times + 20 * factor)
     made = Treap.build(terms, columns, impacts, len(held)).dump()
     return {"doc_ids": [d[0] for d in held],
-            **{k: v.tobytes() if k in _ARRAYS else v for k, v in made.items()}}
+            **{k: _packed(v.tobytes()) if k in _ARRAYS else v for k, v in made.items()},
+            "masks": _packed(made["masks"])}
 
 
 def _tiles(n_docs: int, n_terms: int):
@@ -115,7 +131,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     texts = id_and_text(docs, id_col, text_col)
     n_docs, n_terms = statistics(texts)
     path = fresh_dir(spark, "k2-index")
-    texts.mapInArrow(_tiles(n_docs, n_terms), TILE).write.option("compression", "zstd").parquet(path)
+    texts.mapInArrow(_tiles(n_docs, n_terms), TILE).write.options(**TILE_FILES).parquet(path)
     return spark.read.schema(TILE).parquet(path), n_docs
 
 
@@ -139,10 +155,10 @@ def frequencies(index: DataFrame, terms: np.ndarray) -> np.ndarray:
         total = np.zeros(len(terms), np.int64)
         for batch in batches:
             for own, n in zip(batch.column("terms"), batch.column("frequency")):
-                own = np.frombuffer(own.as_buffer(), np.int64).view(np.uint64)
+                own = np.frombuffer(_unpacked(own), np.int64).view(np.uint64)
                 at = np.searchsorted(own, terms)
                 at[at == len(own)] = 0
-                total += np.where(own[at] == terms, np.frombuffer(n.as_buffer(), np.int32)[at], 0)
+                total += np.where(own[at] == terms, np.frombuffer(_unpacked(n), np.int32)[at], 0)
         has = np.flatnonzero(total)
         yield pa.record_batch([pa.array(has), pa.array(total[has])], names=["at", "n"])
 
@@ -171,10 +187,10 @@ class Best:
 
 
 def _loaded(batch: pa.RecordBatch, row: int) -> tuple[Treap, np.ndarray, np.ndarray]:
-    arrays = {name: np.frombuffer(batch.column(name)[row].as_buffer(), kind)
+    arrays = {name: np.frombuffer(_unpacked(batch.column(name)[row]), kind)
               for name, kind in _ARRAYS.items()}
     treap = Treap.load(bits=batch.column("bits")[row].as_py(), cells=batch.column("cells")[row].as_py(),
-                       masks=batch.column("masks")[row].as_buffer(), **arrays)
+                       masks=_unpacked(batch.column("masks")[row]), **arrays)
     ids = batch.column("doc_ids")[row].values
     return treap, ids.is_null().to_numpy(zero_copy_only=False), ids.fill_null(0).to_numpy()
 
