@@ -341,3 +341,40 @@ def test_staged_tokens_do_not_move(spark, tiny):
             spark.conf.set(k, v)
     assert len([x for x in plan.splitlines() if "hashpartitioning(asset_id" in x]) == 0
     assert "hashpartitioning(nonusdc_asset_id" in plan
+
+
+def test_a_lookup_moves_no_stored_rows(spark, tmp_path):
+    """Stored rows are found in the scan, by their hashes alone."""
+    folder, out, cp = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    spark.createDataFrame([fill("a", 100), fill(None, 100)], FILL).coalesce(1).write.parquet(folder)
+    J.stream_dedup(J.stream_fills(spark, folder), out, cp).awaitTermination()
+    stored = sinks.read_batches(spark, out, J._HASHED)
+    assert stored.filter("_row IS NULL").isEmpty()
+    batch = spark.createDataFrame([fill("a", 100), fill("a", 101), fill(None, 100)], FILL)
+    new = sinks.unseen_hashes(batch.withColumns(J._hashes()), stored, "_row", "_id", 3)
+    assert sorted(str(r["id"]) for r in new.collect()) == ["None", "a"]
+    plan = new._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    assert "makerAssetId" not in plan.split("ReadSchema")[1].split("\n")[0]
+    # a batch too large to hold meets the stored rows by a join that Spark chooses
+    many = sinks.unseen_hashes(batch.withColumns(J._hashes()), stored, "_row", "_id", 1 << 40)
+    assert sorted(str(r["id"]) for r in many.collect()) == ["None", "a"]
+
+
+def test_rows_that_differ_in_which_column_is_null_are_both_stored(spark, tmp_path):
+    folder, out, cp = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    rows = [("x", 100, None, "0", 5, "m", "71", 10, "h"), ("x", 100, "m", "0", 5, None, "71", 10, "h")]
+    for row in rows:
+        spark.createDataFrame([row], FILL).coalesce(1).write.mode("append").parquet(folder)
+        J.stream_dedup(J.stream_fills(spark, folder, 1), out, cp).awaitTermination()
+    assert J.read_stored(spark, out).count() == 2
+
+
+def test_rows_stored_without_hashes_are_found(spark, tmp_path):
+    folder, out, cp = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    rows = spark.createDataFrame([fill("a", 100)], FILL).coalesce(1)
+    sinks.write_batch(rows.withColumn("date", F.to_date(F.timestamp_seconds("timestamp"))), out, -1)
+    for row in ("a", "b", "b"):
+        spark.createDataFrame([fill(row, 100)], FILL).coalesce(1).write.mode("append").parquet(folder)
+    J.stream_dedup(J.stream_fills(spark, folder, 1), out, cp).awaitTermination()
+    assert sorted(r["id"] for r in J.read_stored(spark, out).collect()) == ["a", "b"]
