@@ -378,3 +378,22 @@ def test_rows_stored_without_hashes_are_found(spark, tmp_path):
         spark.createDataFrame([fill(row, 100)], FILL).coalesce(1).write.mode("append").parquet(folder)
     J.stream_dedup(J.stream_fills(spark, folder, 1), out, cp).awaitTermination()
     assert sorted(r["id"] for r in J.read_stored(spark, out).collect()) == ["a", "b"]
+
+
+def test_a_batch_is_as_large_as_what_it_reads_beside(spark, tmp_path, monkeypatch):
+    """So that the number of batches times the token map stays in proportion to the fills."""
+    folder, listed = str(tmp_path / "in"), str(tmp_path / "markets")
+    for i in range(3):
+        spark.createDataFrame([fill(f"i{i}", i)], FILL).coalesce(1).write.mode("append").parquet(folder)
+    spark.range(1000).write.parquet(listed)
+    monkeypatch.setattr(registry, "BATCH_BYTES", 1)
+
+    def batches(beside, name):
+        found = []
+        stream = registry.landed_stream(spark, folder, beside=beside)
+        sinks.run_batches(stream, lambda rows, n: found.append(rows.count()), str(tmp_path / name),
+                          J.NOW).awaitTermination()
+        return found
+    assert batches(0, "a") == [1, 1, 1]
+    assert registry.stored_bytes(spark, listed) > 1000
+    assert batches(1 << 30, "b") == [3]
